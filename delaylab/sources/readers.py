@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from delaylab import schemas
 from delaylab.functions import clock
@@ -25,7 +26,7 @@ def read_features(spark: SparkSession, path: str, format: str = "parquet") -> Da
 
 def read_requests_day(spark: SparkSession, path: str, iso_date: str) -> DataFrame:
     """One day of the request table; only that day's folder is listed and read."""
-    schema = schemas.REQUEST.add("request_date", "date")
+    schema = StructType([*schemas.REQUEST.fields, StructField("request_date", DateType())])
     table = spark.read.schema(schema).parquet(path)
     return table.where(F.col("request_date") == F.lit(iso_date).cast("date")).drop("request_date")
 
