@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from delaylab.functions import text
 from delaylab.operators import hotkeys
+from delaylab.session import materialize
 
 #: Array entries one serving document may hold.
 DOCUMENT_ITEMS = 10_000
@@ -50,6 +51,7 @@ def flights_by_month(flights: DataFrame) -> DataFrame:
 def airplanes_per_carrier(flights: DataFrame, limit: int = DOCUMENT_ITEMS) -> DataFrame:
     """Distinct tail numbers of every carrier as sorted arrays, with the fleet size."""
     pairs = flights.select("Carrier", "TailNum").where(F.col("TailNum").isNotNull()).distinct()
+    pairs = materialize(pairs, "fleet-pairs")
     return hotkeys.nest(pairs, ["Carrier"], ["TailNum"], "TailNumbers", "FleetCount", limit)
 
 
@@ -101,7 +103,7 @@ def index_labels(df: DataFrame, columns: list[str]) -> DataFrame:
         .groupBy("column_name", "label").agg(F.count(F.lit(1)).alias("n"))
     )
     numbered = hotkeys.number_rows(
-        counts, ["column_name"], [F.col("n").desc(), F.col("label")], "place"
+        materialize(counts, "label-counts"), ["column_name"], [F.col("n").desc(), F.col("label")], "place"
     )
     return numbered.select(
         "column_name", "label", "n", (F.col("place") - 1).cast("double").alias("idx")

@@ -52,13 +52,15 @@ def number_rows(
     rank: str = "rank",
     total: str | None = None,
     limit: int = GROUP_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Add the 1-based position of every row in its group, and optionally the group size.
 
-    ``order`` should list enough columns that ties are copies of each other.
+    ``order`` should list enough columns that ties are copies of each other. ``stored`` says
+    that ``df`` is read straight from files, which saves writing it once more.
     """
     if not keys:
-        return _number_by_range(df, [], order, rank)
+        return _number_by_range(df, [], order, rank, stored)
     small, large = split_groups(df, keys, limit)
     group = Window.partitionBy(*keys)
     numbered = small.withColumn(rank, F.row_number().over(group.orderBy(*order)).cast("long"))
@@ -71,15 +73,18 @@ def number_rows(
     return numbered.unionByName(pieces)
 
 
-def _number_by_range(df: DataFrame, keys: list[str], order: list[Column], rank: str) -> DataFrame:
+def _number_by_range(
+    df: DataFrame, keys: list[str], order: list[Column], rank: str, stored: bool = False
+) -> DataFrame:
     """Positions from a range-partitioned sort: place in the partition plus what precedes it.
 
-    The rows are written first so that ``_copy`` is the same on every attempt at a task; it
+    The rows come from files so that ``_copy`` is the same on every attempt at a task; it
     lets the range partitioner cut between copies of one row. The sorted rows are written
     with their partition and place, so the partition sizes belong to exactly these rows.
     """
     columns = df.columns
-    stable = materialize(df, "unsorted").withColumn(_COPY, F.monotonically_increasing_id())
+    source = df if stored else materialize(df, "unsorted")
+    stable = source.withColumn(_COPY, F.monotonically_increasing_id())
     ordered = stable.orderBy(*[F.col(k) for k in keys], *order, F.col(_COPY))
     seated = materialize(
         ordered.select(*columns, F.monotonically_increasing_id().alias(_SEAT)), "sorted"

@@ -184,6 +184,12 @@ def accuracy(scored: DataFrame) -> float:
     ).evaluate(scored)
 
 
+def preview(scored: DataFrame, share: float = 0.001, seed: int = 18, rows: int = 6) -> DataFrame:
+    """A few scored rows, sampled and in departure order."""
+    sample = scored.sample(withReplacement=False, fraction=share, seed=seed)
+    return sample.orderBy("CRSDepTime").limit(rows)
+
+
 def evaluate_in_sample(features: DataFrame, model: PipelineModel) -> float:
     """Accuracy on the rows the model was trained on."""
     return accuracy(bucketize_delay(score(features, model)))

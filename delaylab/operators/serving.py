@@ -128,6 +128,9 @@ def list_all_route_days(flights: DataFrame, limit: int = hotkeys.GROUP_ROWS) ->
 
 
 def results_on_day(results: DataFrame, iso_date: str) -> DataFrame:
+    """Results of one day; of a table stored by day only that day's folder is read."""
+    if "request_date" in results.columns:
+        results = results.where(F.col("request_date") == F.lit(iso_date).cast("date"))
     return results.where(clock.within_day(F.col("Timestamp"), iso_date))
 
 

@@ -100,7 +100,7 @@ def ingest_distances(spark, sf_dir):
 def ingest_flights_csv(spark, sf_dir):
     path = new_dir(spark, "flights")
     writers.write_flights_csv(testbed.flights(spark, sf_dir), f"{path}/csv")
-    writers.land_flights(readers.read_flights_csv(spark, f"{path}/csv"), f"{path}/lake")
+    writers.land_flights(readers.read_flight_files(spark, f"{path}/csv"), f"{path}/lake")
     return readers.read_flights(spark, f"{path}/lake")
 
 
@@ -509,7 +509,7 @@ FROM features""",
 def sorted_features(spark, sf_dir):
     rest = [c for c in schemas.FEATURES.names if c not in features.FEATURE_ORDER]
     order = [F.col(c) for c in features.FEATURE_ORDER + rest]
-    return hotkeys.number_rows(stored_features(spark, sf_dir), [], order)
+    return hotkeys.number_rows(stored_features(spark, sf_dir), [], order, stored=True)
 
 
 @query(
@@ -546,7 +546,7 @@ def paginate(spark, sf_dir):
 
 @query("sample_features")
 def sample_features(spark, sf_dir):
-    """A tenth of the flights, and a small sample of the scored ones in departure order."""
+    """A tenth of the flights, as the feature job may take them."""
     projected = features.project_features(testbed.flights(spark, sf_dir))
     return features.filter_complete(features.sample_share(projected, 0.1, 27))
 

@@ -14,11 +14,15 @@ from delaylab.streaming import sinks, topics
 
 def extract_features(
     flights: DataFrame, path: str, share: float | None = None, seed: int = 27,
-    format: str = "parquet",
+    format: str = "parquet", ordered: bool = True,
 ) -> None:
-    """Flights to the sorted feature table, optionally from a sample of the flights."""
+    """Flights to the feature table, optionally from a sample of the flights.
+
+    ``ordered`` sorts the table, which costs a shuffle; training does not need it.
+    """
     source = flights if share is None else features.sample_share(flights, share, seed)
-    writers.write_features(features.sort_features(features.extract_features(source)), path, format)
+    table = features.extract_features(source)
+    writers.write_features(features.sort_features(table) if ordered else table, path, format)
 
 
 def build_distances(flights: DataFrame, path: str) -> None:

@@ -99,6 +99,13 @@ def score_requests_batch(spark, sf_dir):
     return scored.select(*schemas.RESULT.names)
 
 
+@query("sample_predictions")
+def sample_predictions(spark, sf_dir):
+    """A glance at scored training rows."""
+    table = stored_features(spark, sf_dir)
+    return learning.preview(learning.score(table, scorer(spark, sf_dir)), share=0.01)
+
+
 @query("evaluate_classifier")
 def evaluate_classifier(spark, sf_dir):
     """Accuracy on the training rows and on rows held out by hash."""

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaylab.operators import features, learning
+from delaylab.operators import learning
 from delaylab.plans import jobs, oracle
 from delaylab.session import new_dir
-from delaylab.sources import readers, testbed, writers
+from delaylab.sources import readers, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,7 +70,7 @@ def stored_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 def features_path(spark: SparkSession, sf_dir: str) -> str:
     """Unsorted feature table: training does not depend on row order."""
     def write(path: str) -> None:
-        writers.write_features(features.extract_features(testbed.flights(spark, sf_dir)), path)
+        jobs.extract_features(testbed.flights(spark, sf_dir), path, ordered=False)
 
     return _once(spark, sf_dir, "features", write)
 

@@ -77,12 +77,15 @@ def read_distances(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_flights_csv(spark: SparkSession, directory: str) -> DataFrame:
-    """Every CSV file of a directory under the flight schema, without an inference pass."""
-    return (
-        spark.read.schema(schemas.FLIGHTS).option("header", "true")
-        .option("pathGlobFilter", "*.csv").csv(directory)
-    )
+def read_flight_files(spark: SparkSession, directory: str, format: str = "csv") -> DataFrame:
+    """Every ``format`` file (csv, json or parquet) of a directory under the flight schema.
+
+    The schema is given, so there is no inference pass; other files are left alone.
+    """
+    reader = spark.read.schema(schemas.FLIGHTS).format(format)
+    if format == "csv":
+        reader = reader.option("header", "true")
+    return reader.option("pathGlobFilter", f"*.{format}").load(directory)
 
 
 def stream_topic(

@@ -63,8 +63,3 @@ def write_flights_csv(flights: DataFrame, path: str) -> None:
 def land_flights(flights: DataFrame, path: str) -> None:
     """Put ingested flights into the lake as Parquet."""
     flights.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
-
-
-def land_table(flights: DataFrame, name: str, buckets: int, key: str) -> None:
-    """Put flights into the catalog bucketed by ``key``, so joins on it need no shuffle."""
-    flights.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
