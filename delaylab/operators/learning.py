@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from delaylab.functions.text import DELAY_SPLITS
 from delaylab.operators.features import derive_route, strip_ml_columns
+from delaylab.session import fits_cores, spread
 
 # The inputs of the classifier in the order of the feature vector.
 NUMERIC = ["DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "DayOfYear"]
@@ -129,26 +130,32 @@ def encoders(
 def train(
     features: DataFrame,
     settings: ForestSettings = ForestSettings(),
-    distinct: dict[str, int] | None = None,
+    profile: Profile | None = None,
     dictionary_limit: int = DICTIONARY_LIMIT,
 ) -> PipelineModel:
     """Fit dictionaries, assembler and forest as one model from route to prediction.
 
-    The forest caches its own compact form of the rows, so the input is not cached here;
-    it should be a stored table, as it is scanned a few times before that.
+    ``features`` should be a stored table: the forest scans it a few times before it caches
+    its own compact form of the rows. Only a small input is cached for those scans.
     """
-    if distinct is None:
-        distinct = profile_training(features).distinct
+    profile = profile or profile_training(features)
     labelled = bucketize_delay(derive_route(features))
-    stages, encoded, largest = encoders(labelled, distinct, dictionary_limit)
+    stages, encoded, largest = encoders(labelled, profile.distinct, dictionary_limit)
     vectors = assembler(NUMERIC + encoded)
-    ready = PipelineModel([*stages, vectors]).transform(labelled).select(VECTOR, LABEL)
+    encode = PipelineModel([*stages, vectors])
+    ready = encode.transform(spread(labelled, profile.rows)).select(VECTOR, LABEL)
     forest = RandomForestClassifier(
         featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION,
         numTrees=settings.trees, maxDepth=settings.depth, seed=settings.seed,
         maxBins=max(settings.least_bins, largest + 1), maxMemoryInMB=settings.memory_mb,
-    ).fit(ready)
-    return PipelineModel([*stages, vectors, forest])
+    )
+    if not fits_cores(features.sparkSession, profile.rows):
+        return PipelineModel([*stages, vectors, forest.fit(ready)])
+    ready.persist()
+    try:
+        return PipelineModel([*stages, vectors, forest.fit(ready)])
+    finally:
+        ready.unpersist()
 
 
 def score(requests: DataFrame, model: PipelineModel) -> DataFrame:
@@ -242,7 +249,7 @@ def train_regressor(features: DataFrame, width: int = 1 << 14) -> PipelineModel:
         inputCols=["Distance", "DayOfYear", "DayOfMonth", "DayOfWeek", "hashed"],
         outputCol=VECTOR, handleInvalid="skip",
     )
-    known = features.where(F.col("ArrDelay").isNotNull())
+    known = spread(features.where(F.col("ArrDelay").isNotNull()), features.count())
     ready = vectors.transform(hasher.transform(known)).select(VECTOR, "ArrDelay")
     line = LinearRegression(
         featuresCol=VECTOR, labelCol="ArrDelay", predictionCol="Delay",

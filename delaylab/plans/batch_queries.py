@@ -36,7 +36,7 @@ def scan_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("scan_features_json", f"SELECT {FEATURES} FROM features", ["features"])
 def scan_features_json(spark, sf_dir):
     path = new_dir(spark, "features-json")
-    writers.write_features(stored_features(spark, sf_dir), path, "json")
+    jobs.extract_features(testbed.flights(spark, sf_dir), path, format="json")
     return readers.read_features(spark, path, "json")
 
 
@@ -727,8 +727,9 @@ UNION ALL SELECT 'delay_class_counts', count(DISTINCT {oracle.delay_class('ArrDe
 )
 def job_build_serving_views(spark, sf_dir):
     path = new_dir(spark, "views")
+    writers.land_flights(testbed.flights(spark, sf_dir), f"{path}/flights")
     names = jobs.build_serving_views(
-        testbed.flights(spark, sf_dir), testbed.airplanes(spark, sf_dir), path
+        readers.read_flights(spark, f"{path}/flights"), testbed.airplanes(spark, sf_dir), path
     )
     counts = aggregates.table_counts({n: spark.read.parquet(f"{path}/{n}") for n in names})
     return counts.select(F.col("table_name").alias("view"), F.col("row_count").alias("rows"))

@@ -39,7 +39,7 @@ def train(
     profile = learning.profile_training(table)
     if profile.nulls.get("ArrDelay") or profile.nulls.get("DepDelay"):
         table = features.filter_complete(table)
-    model = learning.train(table, settings, profile.distinct)
+    model = learning.train(table, settings, profile)
     learning.save_model(model, model_path)
     quality = learning.evaluate_in_sample(table, model)
     learning.log_run(spark, runs_path, model, profile.rows, quality)

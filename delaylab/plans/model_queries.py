@@ -141,7 +141,7 @@ def training_run_log(spark, sf_dir):
     table = stored_features(spark, sf_dir)
     profile = learning.profile_training(table)
     for trees in (5, 10):
-        model = learning.train(table, learning.ForestSettings(trees=trees), profile.distinct)
+        model = learning.train(table, learning.ForestSettings(trees=trees), profile)
         quality = learning.evaluate_in_sample(table, model)
         learning.log_run(spark, path, model, profile.rows, quality)
     return learning.best_run(learning.read_runs(spark, path))
