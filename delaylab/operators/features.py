@@ -48,14 +48,21 @@ def sample_by_key(df: DataFrame, keys: list[str], percent: int) -> DataFrame:
 
 
 def typed_features(df: DataFrame) -> DataFrame:
-    """Projected rows as the feature table: timestamps, overnight arrivals, date parts."""
-    date = F.col("FlightDate").cast("date")
-    departure = clock.hhmm_to_ts(F.col("FlightDate"), F.col("CRSDepTime"))
-    arrival = clock.hhmm_to_ts(F.col("FlightDate"), F.col("CRSArrTime"))
-    return df.select(
+    """Projected rows as the feature table: timestamps, overnight arrivals, date parts.
+
+    Dates and clocks are parsed in a step of their own, so that each is parsed once although
+    the arrival uses both clocks several times.
+    """
+    parsed = df.withColumns({
+        "FlightDate": F.col("FlightDate").cast("date"),
+        "CRSDepTime": clock.hhmm_to_ts(F.col("FlightDate"), F.col("CRSDepTime")),
+        "CRSArrTime": clock.hhmm_to_ts(F.col("FlightDate"), F.col("CRSArrTime")),
+    })
+    date = F.col("FlightDate")
+    return parsed.select(
         F.col("ArrDelay").cast("double").alias("ArrDelay"),
-        clock.overnight_arrival(departure, arrival).alias("CRSArrTime"),
-        departure.alias("CRSDepTime"),
+        clock.overnight_arrival(F.col("CRSDepTime"), F.col("CRSArrTime")).alias("CRSArrTime"),
+        "CRSDepTime",
         "Carrier",
         clock.day_of_month(date).alias("DayOfMonth"),
         clock.day_of_week(date).alias("DayOfWeek"),
@@ -63,7 +70,7 @@ def typed_features(df: DataFrame) -> DataFrame:
         F.col("DepDelay").cast("double").alias("DepDelay"),
         "Dest",
         F.col("Distance").cast("double").alias("Distance"),
-        date.alias("FlightDate"),
+        "FlightDate",
         "FlightNum",
         "Origin",
     )

@@ -16,6 +16,9 @@ from delaylab.session import new_dir
 from delaylab.sources import testbed
 
 
+RESULT_INPUTS = ", ".join([*schemas.REQUEST.names, "Route"])
+
+
 @query(
     "bucketize_delay",
     f"""SELECT FlightDate, TailNum, FlightNum, ArrDelay, {oracle.delay_class('ArrDelay')} AS ArrDelayBucket
@@ -155,7 +158,12 @@ def job_train(spark, sf_dir):
     return learning.best_run(learning.read_runs(spark, f"{path}/runs"))
 
 
-@query("job_daily_score")
+@query(
+    "job_daily_score",
+    f"""SELECT {RESULT_INPUTS}, 1 AS classified FROM scored
+WHERE CAST(Timestamp AS DATE) = DATE '{DAY}'""",
+    ["scored"],
+)
 def job_daily_score(spark, sf_dir):
     """One day fetched, scored and stored twice over; gives that day's results."""
     path = new_dir(spark, "job-daily")
@@ -164,7 +172,10 @@ def job_daily_score(spark, sf_dir):
             spark, prepared_requests(spark, sf_dir), DAY, f"{path}/tasks",
             model_path(spark, sf_dir), f"{path}/results",
         )
-    return spark.read.parquet(f"{path}/results").select(*schemas.RESULT.names)
+    results = spark.read.schema(schemas.RESULT).parquet(f"{path}/results")
+    return results.select(
+        *schemas.REQUEST.names, "Route", F.col("Prediction").isin(0, 1, 2, 3).alias("classified")
+    )
 
 
 def flagship(spark, sf_dir: str) -> DataFrame:

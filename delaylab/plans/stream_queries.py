@@ -89,13 +89,19 @@ def stream_response_json(spark, sf_dir):
     )
 
 
-@query("stream_score")
+@query("stream_score", f"SELECT {REQUEST}, 1 AS as_in_batch FROM prepared", ["prepared"])
 def stream_score(spark, sf_dir):
-    """Every request scored by the stored model as it streams."""
+    """Every request scored by the stored model as it streams, set against the batch score."""
     path = new_dir(spark, "stream-score")
-    scored = learning.score(_request_stream(spark, sf_dir, path), scorer(spark, sf_dir))
+    model = scorer(spark, sf_dir)
+    scored = learning.score(_request_stream(spark, sf_dir, path), model)
     sinks.append_stream(scored, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return spark.read.schema(schemas.RESULT).parquet(f"{path}/out")
+    streamed = spark.read.schema(schemas.RESULT).parquet(f"{path}/out")
+    batch = learning.score(prepared_requests(spark, sf_dir), model).select(
+        "UUID", F.col("Prediction").alias("expected")
+    )
+    same = F.col("Prediction") == F.col("expected")
+    return streamed.join(batch, "UUID").select(*schemas.REQUEST.names, same.alias("as_in_batch"))
 
 
 def _fan_out_targets(path: str) -> dict[str, sinks.BatchSink]:

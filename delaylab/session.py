@@ -8,12 +8,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Runtime settings the jobs rely on; everything else is left to ``spark-submit``.
+#: Settings for ``spark-submit``: UTC clocks, adaptive execution, streaming state on disk.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _SHARED_DIR = "spark.checkpoint.dir"

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from delaylab.operators.features import response_projection
@@ -22,14 +23,33 @@ def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, wanted: int | None = None):
+    """Number of state partitions for the streams started inside.
+
+    A stream keeps the number it first started with, so it is chosen for the stream and not
+    taken from what batch shuffles use; by default at most two partitions per core.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    default = min(int(before), 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set(setting, str(wanted or default))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def append_stream(
-    df: DataFrame, path: str, checkpoint: str, every: str | None = None, format: str = "parquet"
+    df: DataFrame, path: str, checkpoint: str, every: str | None = None,
+    format: str = "parquet", partitions: int | None = None,
 ) -> StreamingQuery:
     """Append a stream to a file store, exactly once per message across restarts."""
     writer = df.writeStream.format(format).outputMode("append").option(
         "checkpointLocation", checkpoint
     )
-    return triggered(writer, every).start(path)
+    with state_partitions(df.sparkSession, partitions):
+        return triggered(writer, every).start(path)
 
 
 def publish_stream(
