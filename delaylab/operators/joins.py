@@ -10,6 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaylab.operators.hotkeys import first_per_key
+from delaylab.session import materialize
+
+#: Distinct lookup keys that are joined before flights are reduced; a few megabytes.
+LOOKUP_KEYS = 50_000
+
 
 def enrich_distance(requests: DataFrame, distances: DataFrame) -> DataFrame:
     """Distance of each request's route; 0 where unknown, with a flag that says so."""
@@ -51,17 +57,19 @@ def pending_requests(requests: DataFrame, responses: DataFrame) -> DataFrame:
     return requests.join(responses, requests["UUID"] == responses["uuid"], "left_anti")
 
 
-def lookup_flights(keys: DataFrame, flights: DataFrame) -> DataFrame:
+def lookup_flights(keys: DataFrame, flights: DataFrame, few: int = LOOKUP_KEYS) -> DataFrame:
     """First flight of each requested (Carrier, FlightDate, FlightNum); many lookups, one job.
 
-    Keys are made unique and matches reduced with partial aggregates on both sides of the
-    join, so neither repeated keys nor repeated flights pile up in one task.
+    Up to ``few`` distinct keys select their flights first, so that little is left to reduce.
+    With more keys all flights are reduced first, by a partial aggregate before the shuffle:
+    neither repeated keys nor repeated flights pile up in one task.
     """
-    from delaylab.operators.hotkeys import first_per_key
-
     names = ["Carrier", "FlightDate", "FlightNum"]
-    first = first_per_key(flights, names, ["DepTime", "ArrTime", "Origin", "Dest", "TailNum"])
-    return keys.select(*names).distinct().join(first, names, "inner")
+    order = ["DepTime", "ArrTime", "Origin", "Dest", "TailNum"]
+    wanted = materialize(keys.select(*names).distinct(), "lookup-keys")
+    if wanted.count() <= few:
+        return first_per_key(flights.join(wanted, names, "semi"), names, order)
+    return wanted.join(first_per_key(flights, names, order), names, "inner")
 
 
 def lookup_airplanes(keys: DataFrame, documents: DataFrame) -> DataFrame:

@@ -147,6 +147,12 @@ def carrier_list(fleet: DataFrame) -> DataFrame:
     return fleet.where(F.col("Part") == 0).select("Carrier")
 
 
+def monthly_listing(totals: DataFrame) -> DataFrame:
+    """Monthly totals in calendar order. The window runs over as many rows as there are months."""
+    place = F.row_number().over(Window.orderBy("Year", "Month"))
+    return totals.withColumn("rank", place.cast("long"))
+
+
 def ranked_manufacturers(totals: DataFrame, limit: int = hotkeys.GROUP_ROWS) -> DataFrame:
     """Manufacturer totals with their place by falling count."""
     return hotkeys.number_rows(totals, [], [F.col("Total").desc(), F.col("Manufacturer")])

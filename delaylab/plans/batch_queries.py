@@ -413,10 +413,13 @@ def table_counts(spark, sf_dir):
 
 @query(
     "flights_by_month",
-    "SELECT Year, Month, count(*) AS total_flights FROM flights GROUP BY Year, Month", ["flights"],
+    """SELECT Year, Month, count(*) AS total_flights, row_number() OVER (ORDER BY Year, Month) AS rank
+FROM flights GROUP BY Year, Month""",
+    ["flights"],
 )
 def flights_by_month(spark, sf_dir):
-    return aggregates.flights_by_month(testbed.flights(spark, sf_dir, "Year", "Month"))
+    totals = aggregates.flights_by_month(testbed.flights(spark, sf_dir, "Year", "Month"))
+    return serving.monthly_listing(totals)
 
 
 @query(

@@ -63,7 +63,7 @@ def score_day(spark: SparkSession, iso_date: str, tasks_path: str, model_path: s
     """Score one day of requests and replace that day's results."""
     tasks = readers.read_requests_day(spark, tasks_path, iso_date)
     scored = learning.score(tasks, learning.load_model(model_path))
-    writers.write_daily(scored, results_path)
+    writers.write_daily(scored, results_path, rebalance=False)
 
 
 def daily_score(spark: SparkSession, requests: DataFrame, iso_date: str, tasks_path: str,
@@ -75,10 +75,17 @@ def daily_score(spark: SparkSession, requests: DataFrame, iso_date: str, tasks_p
 
 def stream_score(
     log: DataFrame, model_path: str, distances: DataFrame, targets: dict[str, sinks.BatchSink],
-    checkpoint: str, every: str | None = None,
+    checkpoint: str, every: str | None = None, duplicates_within: str | None = None,
 ) -> StreamingQuery:
-    """Request topic to all sinks. Requests that came without a distance are given one."""
-    parsed = topics.parse_requests(log)
+    """Request topic to all sinks. Requests that came without a distance are given one.
+
+    ``duplicates_within`` drops repeated messages that arrive within that delay; without it
+    repeated messages are scored again and the response table keeps the last.
+    """
+    if duplicates_within:
+        parsed = topics.parse_once(log, duplicates_within)
+    else:
+        parsed = topics.parse_requests(log)
     sent = parsed.withColumnRenamed("Distance", "_sent")
     complete = joins.enrich_distance(sent, distances).withColumn(
         "Distance", F.coalesce("_sent", "Distance")

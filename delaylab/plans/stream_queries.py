@@ -147,12 +147,7 @@ def stream_dedup_requests(spark, sf_dir):
     path = new_dir(spark, "dedup")
     for _ in range(2):
         _publish_requests(spark, sf_dir, f"{path}/topic")
-    log = readers.stream_topic(spark, f"{path}/topic")
-    parsed = log.select(
-        messages.parse_request(F.col("value")).alias("flight"),
-        F.col("timestamp").alias("received_at"), "offset",
-    ).select("flight.*", "received_at", "offset")
-    single = matching.drop_duplicates(parsed, "UUID", "received_at", spread=F.col("offset"))
+    single = topics.parse_once(readers.stream_topic(spark, f"{path}/topic"))
     sinks.append_stream(
         single.select(*schemas.REQUEST.names), f"{path}/out", f"{path}/checkpoint"
     ).awaitTermination()

@@ -45,7 +45,7 @@ def ingest_distances(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Route distances from JSON lines; the last line of a route wins.
 
     Field names may be capitalised or not, blank lines are skipped, absent names become ''
-    and an absent distance 0. Line order is file path, split offset, then place in the scan.
+    and an absent distance 0; a distance that is no number is null. Line order is file path, split offset, then place in the scan.
     """
     lines = spark.read.text(paths).select(
         "value",
@@ -63,7 +63,7 @@ def ingest_distances(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     typed = parsed.select(
         either("origin", "").alias("origin"),
         either("dest", "").alias("dest"),
-        either("distance", "0").cast("double").alias("distance"),
+        either("distance", "0").try_cast("double").alias("distance"),
         "_line",
     )
     return latest_per_key(typed, ["origin", "dest"], ["_line"]).drop("_line")

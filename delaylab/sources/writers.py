@@ -28,16 +28,19 @@ def write_distances(distances: DataFrame, path: str) -> None:
     ).write.mode("overwrite").parquet(path)
 
 
-def write_daily(df: DataFrame, path: str, moment: str = "Timestamp") -> None:
+def write_daily(
+    df: DataFrame, path: str, moment: str = "Timestamp", rebalance: bool = True
+) -> None:
     """Replace exactly the days present in ``df``; other days stay as they are.
 
     Rows are rebalanced by day: adaptive execution joins small days and splits a large one,
-    so a day is neither one huge file nor one sliver per task. Running a day again gives
-    the same table.
+    so a day is neither one huge file nor one sliver per task. Rows that already come from
+    well-sized files of one day need no such shuffle (``rebalance=False``). Running a day
+    again gives the same table.
     """
     dated = df.withColumn("request_date", F.to_date(moment))
     (
-        dated.hint("rebalance", "request_date")
+        (dated.hint("rebalance", "request_date") if rebalance else dated)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy("request_date").parquet(path)

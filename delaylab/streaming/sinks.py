@@ -116,7 +116,8 @@ def fan_out(
             batch.unpersist()
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return triggered(writer, every).start()
+    with state_partitions(df.sparkSession):
+        return triggered(writer, every).start()
 
 
 def upsert_stream(

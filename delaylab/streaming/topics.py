@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from delaylab import schemas
 from delaylab.functions import messages
 from delaylab.operators.features import flatten
+from delaylab.streaming.matching import drop_duplicates
 
 
 def as_log(df: DataFrame, topic: str, moment: str = "Timestamp") -> DataFrame:
@@ -38,6 +39,21 @@ def parse_requests(log: DataFrame) -> DataFrame:
     return flatten(log.select(messages.parse_request(F.col("value")).alias("flight")), "flight")
 
 
+def parse_once(log: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Flat typed requests, each identifier once within the watermark.
+
+    Messages without an identifier cannot be told apart and are left out.
+    """
+    parsed = log.select(
+        messages.parse_request(F.col("value")).alias("flight"),
+        F.col("timestamp").alias("received_at"), "offset",
+    ).select("flight.*", "received_at", "offset")
+    single = drop_duplicates(
+        addressed(parsed), "UUID", "received_at", delay, spread=F.col("offset")
+    )
+    return single.drop("received_at", "offset")
+
+
 def addressed(df: DataFrame) -> DataFrame:
     """Rows with an identifier; only they can be stored by key or answered."""
     return df.where(F.col("UUID").isNotNull())

@@ -123,8 +123,9 @@ def test_lookup_of_repeated_keys(spark, flights):
         [("AA", "2015-01-01", "1")] * 5 + [("AA", "1999-01-01", "1")],
         "Carrier string, FlightDate string, FlightNum string",
     )
-    found = joins.lookup_flights(keys, flights).collect()
-    assert len(found) == 1 and found[0]["TailNum"] == "HOT"
+    for few in (0, 100):
+        found = joins.lookup_flights(keys, flights, few).collect()
+        assert len(found) == 1 and found[0]["TailNum"] == "HOT"
     single = serving.flight_lookup(flights, "AA", "2015-01-01", "1").collect()
     assert len(single) == 1
 

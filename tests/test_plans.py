@@ -107,11 +107,16 @@ def test_lookup_joins_without_shuffling_again(spark, flights):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(joins.lookup_flights(keys, flights))
+        text = plan(joins.lookup_flights(keys, flights, few=0))
+        filtered = plan(joins.lookup_flights(keys, flights))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert text.count("Exchange hashpartitioning") == 2  # one per side, none for the join
+    # One shuffle per side; the aggregate brings no further one.
+    assert text.count("Exchange hashpartitioning") == 2
     assert "partial_min" in text
+    assert filtered.count("Exchange hashpartitioning") == 2 and "LeftSemi" in filtered
+    few = plan(joins.lookup_flights(keys.limit(5), flights))
+    assert "BroadcastHashJoin" in few and few.index("min(") < few.index("BroadcastHashJoin")
 
 
 def test_unused_tables_are_not_joined(spark, sf_dir):

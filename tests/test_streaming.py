@@ -134,6 +134,20 @@ def test_repeated_messages_are_kept_once(spark, requests):
         assert len(ids) == len(set(ids)) == 20
 
 
+def test_job_drops_repeated_messages(spark, requests, sf_dir):
+    path = new_dir(spark, "t")
+    for _ in range(3):
+        publish(requests, f"{path}/topic")
+    jobs.stream_score(
+        readers.stream_topic(spark, f"{path}/topic"), registry.model_path(spark, sf_dir),
+        registry.stored_distances(spark, sf_dir),
+        {"documents": sinks.documents(f"{path}/documents")}, f"{path}/cp",
+        duplicates_within="10 minutes",
+    ).awaitTermination()
+    held = spark.read.parquet(f"{path}/documents")
+    assert held.count() == requests.count() == held.select("UUID").distinct().count()
+
+
 def test_interval_trigger_runs_and_stops(spark, requests):
     path = new_dir(spark, "t")
     publish(requests.limit(3), f"{path}/topic")
