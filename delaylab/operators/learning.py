@@ -237,7 +237,7 @@ def best_run(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.col("accuracy").desc(), F.col("run_at")).limit(1)
 
 
-def train_regressor(features: DataFrame, width: int = 1 << 14) -> PipelineModel:
+def train_regressor(features: DataFrame, width: int = 1 << 13) -> PipelineModel:
     """Numeric arrival delay from route ends, flight number, distance and date parts.
 
     Text inputs are hashed to one-hot slots, so no dictionary grows with the data.

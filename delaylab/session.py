@@ -8,8 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Settings for ``spark-submit``: UTC clocks, adaptive execution, streaming state on disk.
+#: Settings for ``spark-submit``: UTC clocks, adaptive execution, streaming state on disk, and
+#: no generated method beyond the size up to which the JVM compiles methods.
 RUNTIME_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
