@@ -42,8 +42,8 @@ FREQUENT = 1_000_000
 PARTS = 128
 #: Bits of the map that picks the classes whose sets are wanted (8 MB).
 MAP_BITS = 26
-#: Pairs left per class at which the rounds end.
-PAIRS_LEFT = 20
+#: Pairs left per class, counted in every region they share, at which the rounds end.
+PAIRS_LEFT = 160
 
 
 class Sets:
@@ -375,9 +375,11 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
         members = open_.select("class").distinct().count()
         if left == 0:
             break
-        if left <= PAIRS_LEFT * members * 8 or left_before is not None and left > 0.9 * left_before:
+        if left_before is not None and (left <= PAIRS_LEFT * members or left > 0.9 * left_before):
             break
         left_before = left
+        # A region that is done stays done: the next round looks at the open ones alone.
+        regions = open_.select("shingle", "class")
         # Each class and the component root it meets in most of its regions.
         other = F.when(F.col("comp") != F.col("lo"), F.col("lo")).otherwise(F.col("hi"))
         met = open_.select("class", other.alias("pivot")).groupBy("class", "pivot").count()
