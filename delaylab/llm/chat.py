@@ -67,10 +67,11 @@ def _states(roles: Column, template: Template) -> Column:
     begin = F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("good"))
 
     def step(now: Column, role: Column) -> Column:
-        after = F.element_at(table, F.concat(now["state"], F.lit("\0"), role))
+        # The empty state is that of a broken order; nothing leads out of it.
+        after = F.coalesce(F.element_at(table, F.concat(now["state"], F.lit("\0"), role)), F.lit(""))
         return F.struct(
             after.alias("state"),
-            F.when(after.isNull(), now["good"]).otherwise(now["good"] + 1).alias("good"),
+            F.when(after == "", now["good"]).otherwise(now["good"] + 1).alias("good"),
         )
 
     return F.aggregate(roles, begin, step)
@@ -123,7 +124,7 @@ def format_conversations(turns: DataFrame, template: Template = CHATML) -> DataF
         .select(
             "conv_id", "segments",
             F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-            F.coalesce(F.col("_end.state").isin(*template.accepting), F.lit(False)).alias("valid"),
+            F.col("_end.state").isin(*template.accepting).alias("valid"),
             F.when(F.col("_end.good") < F.col("_n"), F.col("_end.good")).alias("broken_at"),
         )
     )

@@ -139,14 +139,14 @@ def identify(
     host, suffix = host if host is not None else nothing, suffix if suffix is not None else nothing
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(fit_text_models(docs, text, label, languages))
-    known = declared.isin(*languages) if declared is not None else F.lit(None)
+    declared = (declared if declared is not None else nothing).cast("string")
+    known = declared.isin(*languages)
     rows = docs.select(
         F.struct("*").alias("doc"),
         F.col(f"`{text}`").alias("text"),
         F.coalesce(host.cast("string"), F.lit("")).alias("host"),
         F.coalesce(suffix.cast("string"), F.lit("")).alias("suffix"),
-        F.when(known.isNull(), "none").when(known, declared if declared is not None else nothing)
-        .otherwise("other").alias("declared"),
+        F.when(declared.isNull(), "none").when(known, declared).otherwise("other").alias("declared"),
     )
 
     def scored(names: list[str]) -> DataFrame:
