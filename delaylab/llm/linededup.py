@@ -20,6 +20,10 @@ from delaylab.session import materialize
 
 #: Lines from which a repeated chunk is removed.
 LEAST_LINES = 2
+#: Slots of the broadcast filter that keeps most chunks that do not repeat from travelling. It has
+#: at most so many rows (16 bytes each), however many hashes repeat; when they fill it, more
+#: chunks travel, with the same result.
+SLOTS = 1 << 22
 
 
 def _minima(rolling: Column, n: Column) -> Column:
@@ -88,7 +92,11 @@ def repeated_chunks(stored: DataFrame, least_lines: int = LEAST_LINES) -> DataFr
     )
     candidates = each.select(
         F.col("chunk.hash").alias("hash"), F.col("chunk.text").alias("text"), "row", "at"
-    ).join(often, "hash", "left_semi")
+    ).withColumn("slot", F.pmod("hash", F.lit(SLOTS)))
+    slots = often.select(F.pmod("hash", F.lit(SLOTS)).alias("slot")).distinct()
+    candidates = candidates.join(F.broadcast(slots), "slot", "left_semi").drop("slot").join(
+        often, "hash", "left_semi"
+    )
     order = F.struct("row", "at")
     firsts = candidates.groupBy("hash", "text").agg(
         F.min(order).alias("first"), F.count("*").alias("n")
