@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylab.llm import decontamination, language, linededup, neardup, packing, registered
+from delaylab.llm import (
+    decontamination, language, linededup, neardup, packing, registered, scratch,
+)
 from delaylab.session import new_dir
 
 
@@ -36,12 +39,28 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs)
 
 
+def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """``function``, without the intermediate tables of the stage before it.
+
+    ``docs`` has been written and read again by then, so nothing reads those tables any more.
+    """
+
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        owner = f"pipeline over {sf_dir}"
+        scratch.released(spark, owner)
+        scratch.small_batches(spark)
+        with scratch.owned(owner):
+            return function(spark, docs, sf_dir)
+
+    return stage
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("line_dedup", line_dedup),
-    ("ngram_jaccard_join", ngram_jaccard_join),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("packing", pack),
+    ("language_id", _stage(language_id)),
+    ("line_dedup", _stage(line_dedup)),
+    ("ngram_jaccard_join", _stage(ngram_jaccard_join)),
+    ("benchmark_decontamination", _stage(benchmark_decontamination)),
+    ("packing", _stage(pack)),
 ]
 
 #: Language models, near copies over whole texts and token ids have no SQL counterpart.

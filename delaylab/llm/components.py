@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylab.session import materialize
+from delaylab.llm.scratch import stored as materialize
 
 
 def _fingerprint(edges: DataFrame) -> tuple:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylab.llm.textbytes import LETTER_BYTES_ANY_CASE, Words, chunks, sequence_hash, spare
-from delaylab.session import materialize
+from delaylab.llm.scratch import stored as materialize
 
 #: Item windows that go to the executors at a time (some 300 bytes each).
 BLOCK_WINDOWS = 500_000

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylab.llm.textbytes import LOWER, chunks, mix
-from delaylab.session import materialize
+from delaylab.llm.scratch import stored as materialize
 
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
@@ -87,14 +87,20 @@ def fit_text_models(
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
-def _score(shared, names: list[str]):
+def _score(shared, names: list[str], text_at: int):
+    """Scores the text of the column ``text``, or of field ``text_at`` of the column ``doc``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = np.concatenate([shared.value, np.zeros((len(shared.value), 1))], axis=1)
         for batch in batches:
             fields = batch.schema.names
             n = batch.num_rows
             scores, grams = np.zeros((n, len(model))), np.zeros(n, np.int64)
-            for lo, hi, data, offsets in chunks(batch.column(fields.index("text"))):
+            text = (
+                batch.column(fields.index("text")) if "text" in fields
+                else batch.column(fields.index("doc")).field(text_at)
+            )
+            for lo, hi, data, offsets in chunks(text):
                 bins = _bins(data, offsets)
                 upto = np.zeros(len(data) + 1)
                 for k, row in enumerate(model):
@@ -152,8 +158,10 @@ def identify(
     def scored(names: list[str]) -> DataFrame:
         schema = T.StructType([rows.schema[n] for n in names])
         schema = schema.add("likelihoods", T.ArrayType(T.DoubleType())).add("grams", "long")
-        found = rows.select(*dict.fromkeys(["text", *names])).mapInArrow(
-            _score(model, schema.names), schema
+        # The document brings its text along; sending that twice would double the memory.
+        sent = names if "doc" in names else ["text", *names]
+        found = rows.select(*sent).mapInArrow(
+            _score(model, schema.names, docs.columns.index(text)), schema
         )
         best = F.array_position("likelihoods", F.array_max("likelihoods")).cast("int") - 1
         return found.withColumn("best", best)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaylab.session import materialize
+from delaylab.llm.scratch import stored as materialize
 
 #: Lines from which a repeated chunk is removed.
 LEAST_LINES = 2

@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylab.llm.components import connected
+from delaylab.llm.scratch import dropped
+from delaylab.llm.scratch import stored as materialize
 from delaylab.llm.textbytes import VISIBLE_BYTES, Words, chunks, mix, sequence_hash
-from delaylab.session import materialize
 
 #: Documents of a block in which shingles are counted to find the frequent ones.
 BLOCK_DOCS = 4096
@@ -272,7 +273,10 @@ class _Join:
                 break
             least = r.n
         self.frequent = often.where(F.col("n") >= least) if least else often.limit(0)
-        return rows.where("shingle is null").select("row", "key", "n", "class")
+        docs = materialize(rows.where("shingle is null").select("row", "key", "n", "class"), "documents")
+        self.frequent = materialize(self.frequent, "frequent")
+        dropped(rows, often)
+        return docs
 
     def regions(self) -> tuple[DataFrame, DataFrame]:
         """(shingle, class) where a shingle opens several prefixes, and (class, n, points)."""
@@ -299,7 +303,9 @@ class _Join:
         )
         # Frequent shingles are shared anyway and could be hot: they need no look at their group.
         regions = shared_ones.unionByName(opened.where("at >= cold").select("shingle", "class"))
-        return materialize(regions, "regions"), fronts.select("class", "n", "points")
+        kept = materialize(regions, "regions"), materialize(fronts.select("class", "n", "points"), "points")
+        dropped(fronts)
+        return kept
 
     def measured(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
         """(a, b, distance, linked) of the pairs that sizes and coordinates leave possible."""
@@ -333,16 +339,19 @@ class _Join:
         both = near.join(sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), "a").join(
             sets.select(F.col("class").alias("b"), F.col("set").alias("set_b")), "b"
         )
-        return materialize(
+        found = materialize(
             both.select("a", "b", "set_a", "set_b").mapInArrow(
                 _measure(self.percent), "a long, b long, distance double, linked boolean"
             ),
             "measured",
         )
+        dropped(near, needed, sets)
+        return found
 
 
 def _labelled(regions: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(shingle, class, comp) of regions in which several components are left."""
+    """(shingle, class, comp) of the regions that are still open; one that is done stays done."""
+    regions = regions.select("shingle", "class")
     if labels is None:
         return regions.withColumn("comp", F.col("class"))
     named = labels.select(F.col("node").alias("class"), F.col("component").alias("comp"))
@@ -366,7 +375,9 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
         open_ = _labelled(regions, labels)
         ends = open_.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         ends = ends.where("lo <> hi")
-        open_ = materialize(open_.join(ends, "shingle"), "open-regions")
+        still = materialize(open_.join(ends, "shingle"), "open-regions")
+        dropped(regions)
+        regions = open_ = still
         # Pairs of different components, counted by region: all pairs less those inside one.
         inside = open_.groupBy("shingle", "comp").agg(F.count("*").cast("double").alias("n"))
         left = inside.groupBy("shingle").agg(
@@ -378,8 +389,6 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
         if left_before is not None and (left <= PAIRS_LEFT * members or left > 0.9 * left_before):
             break
         left_before = left
-        # A region that is done stays done: the next round looks at the open ones alone.
-        regions = open_.select("shingle", "class")
         # Each class and the component root it meets in most of its regions.
         other = F.when(F.col("comp") != F.col("lo"), F.col("lo")).otherwise(F.col("hi"))
         met = open_.select("class", other.alias("pivot")).groupBy("class", "pivot").count()
@@ -465,12 +474,12 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One document of each component: the one with the smallest key, the first of equal keys."""
     found = near_duplicates(docs, key, text, k, percent)
-    kept = found.groupBy("group").agg(
-        F.min_by("row", F.struct(F.col("key").isNull(), "key", "row")).alias("row")
-    )
-    kept = materialize(kept.select("row"), "kept-rows")
+    first = F.min_by("row", F.struct(F.col("key").isNull(), "key", "row"))
+    ranked = found.join(found.groupBy("group").agg(first.alias("first")), "group")
+    # The rows that go are few beside those that stay, so they are the side to be sent.
+    gone = materialize(ranked.where("row <> first").select("row"), "gone-rows")
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
-    return numbered.join(kept, "row", "left_semi").select("doc.*")
+    return numbered.join(gone, "row", "left_anti").select("doc.*")
 
 
 def op9_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from delaylab.llm import tokens
 from delaylab.llm.textbytes import spare
-from delaylab.session import materialize
+from delaylab.llm.scratch import stored as materialize
 
 CAPACITY = 2048
 #: Longest piece of a document's rest. Shorter pieces fill evenly, longer ones keep more context.
@@ -31,7 +31,7 @@ PIECE = 512
 #: Pieces divided together, on average.
 GROUP = 512
 END_ID = 1
-_CHUNK_CHARS = 1 << 20
+_CHUNK_CHARS = 1 << 19
 
 
 def public_vocabulary() -> tuple[str, str, str]:

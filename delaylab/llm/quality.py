@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylab.llm.textbytes import spare
-from delaylab.session import materialize
+from delaylab.llm.scratch import stored as materialize
 
 WINDOW = 8
 #: Bins of a statistic; a threshold lies between two of them.

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from delaylab.llm import (
     chat, decontamination, language, licenses, linededup, neardup, packing, quality, sharding, urls,
 )
+from delaylab.llm.scratch import small_batches
 
 MODULES = (
     sharding, decontamination, language, packing, linededup, quality, urls, chat, neardup, licenses,
@@ -42,6 +43,7 @@ def send_package(spark: SparkSession) -> None:
 def _sending(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         send_package(spark)
+        small_batches(spark)
         return query(spark, sf_dir.rstrip("/"))
 
     return run

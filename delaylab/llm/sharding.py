@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaylab.session import materialize
+from delaylab.llm.scratch import stored as materialize
 
 _PLACES = ("_part", "_rows_before", "_bytes_before")
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are taken together up to this many bytes; a longer text is taken alone, and whole.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _ASCII = np.arange(256)
 #: Bytes of words that leave out ASCII other than digits and small letters (after lowering A-Z).

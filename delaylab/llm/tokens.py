@@ -46,14 +46,13 @@ class ByteBpe:
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self._words = tiktoken.Encoding(
             "words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
-        self._library = Tokenizer.from_file(json_path)
+        self._json_path, self._library = json_path, None
         self._class_of = _classes()
         self._value_of = mix(np.arange(1, _PLAIN + 1, dtype=np.uint64))
         self._forget()
@@ -170,6 +169,11 @@ class ByteBpe:
         shift = np.repeat(all_starts[number] - upto[:-1], lengths)
         ids = np.array(self._ids, np.uint32)[shift + np.arange(len(shift))]
         starts = upto[np.concatenate([[0], np.searchsorted(begin, ends)])]
+        if odd and self._library is None:
+            # Some 100 MB that most workers never need.
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self._json_path)
         if odd:
             pieces = [ids[a:b] for a, b in itertools.pairwise(starts.tolist())]
             for i in odd:
