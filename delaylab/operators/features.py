@@ -54,7 +54,7 @@ def typed_features(df: DataFrame) -> DataFrame:
     the arrival uses both clocks several times.
     """
     parsed = df.withColumns({
-        "FlightDate": F.col("FlightDate").cast("date"),
+        "FlightDate": F.col("FlightDate").try_cast("date"),
         "CRSDepTime": clock.hhmm_to_ts(F.col("FlightDate"), F.col("CRSDepTime")),
         "CRSArrTime": clock.hhmm_to_ts(F.col("FlightDate"), F.col("CRSArrTime")),
     })
@@ -98,7 +98,7 @@ def strip_ml_columns(df: DataFrame) -> DataFrame:
 
 def with_date_parts(requests: DataFrame) -> DataFrame:
     """Calendar features of the flight date, computed as in training."""
-    return requests.select("*", *clock.date_parts(F.col("FlightDate").cast("date")))
+    return requests.select("*", *clock.date_parts(F.col("FlightDate").try_cast("date")))
 
 
 def flatten(df: DataFrame, column: str) -> DataFrame:

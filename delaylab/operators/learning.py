@@ -237,6 +237,9 @@ def best_run(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.col("accuracy").desc(), F.col("run_at")).limit(1)
 
 
+_REGRESSION_NUMBERS = ["Distance", "DayOfYear", "DayOfMonth", "DayOfWeek"]
+
+
 def train_regressor(features: DataFrame, width: int = 1 << 13) -> PipelineModel:
     """Numeric arrival delay from route ends, flight number, distance and date parts.
 
@@ -246,10 +249,11 @@ def train_regressor(features: DataFrame, width: int = 1 << 13) -> PipelineModel:
         inputCols=["Origin", "Dest", "FlightNum"], outputCol="hashed", numFeatures=width
     )
     vectors = VectorAssembler(
-        inputCols=["Distance", "DayOfYear", "DayOfMonth", "DayOfWeek", "hashed"],
-        outputCol=VECTOR, handleInvalid="skip",
+        inputCols=[*_REGRESSION_NUMBERS, "hashed"],
+        outputCol=VECTOR, handleInvalid="keep",
     )
-    known = spread(features.where(F.col("ArrDelay").isNotNull()), features.count())
+    # Incomplete rows leave the fit, never the scoring: a request always gets an answer.
+    known = features.dropna(subset=["ArrDelay", *_REGRESSION_NUMBERS])
     ready = vectors.transform(hasher.transform(known)).select(VECTOR, "ArrDelay")
     line = LinearRegression(
         featuresCol=VECTOR, labelCol="ArrDelay", predictionCol="Delay",
@@ -259,5 +263,6 @@ def train_regressor(features: DataFrame, width: int = 1 << 13) -> PipelineModel:
 
 
 def predict_delay(requests: DataFrame, model: PipelineModel) -> DataFrame:
-    """Add the predicted arrival delay in minutes."""
-    return model.transform(requests).drop("hashed", VECTOR)
+    """Add the predicted arrival delay in minutes; null where an input is null."""
+    scored = model.transform(requests).drop("hashed", VECTOR)
+    return scored.withColumn("Delay", F.nanvl("Delay", F.lit(None).cast("double")))

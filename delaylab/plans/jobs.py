@@ -55,7 +55,7 @@ def prepare_requests(requests: DataFrame, distances: DataFrame) -> DataFrame:
 
 def fetch_requests(requests: DataFrame, iso_date: str, path: str) -> None:
     """One day of the request store to its daily folder."""
-    writers.write_daily(readers.requests_in_window(requests, iso_date), path)
+    writers.write_daily(readers.requests_in_window(requests, iso_date), path, day=iso_date)
 
 
 def score_day(spark: SparkSession, iso_date: str, tasks_path: str, model_path: str,
@@ -63,7 +63,7 @@ def score_day(spark: SparkSession, iso_date: str, tasks_path: str, model_path: s
     """Score one day of requests and replace that day's results."""
     tasks = readers.read_requests_day(spark, tasks_path, iso_date)
     scored = learning.score(tasks, learning.load_model(model_path))
-    writers.write_daily(scored, results_path, rebalance=False)
+    writers.write_daily(scored, results_path, day=iso_date)
 
 
 def daily_score(spark: SparkSession, requests: DataFrame, iso_date: str, tasks_path: str,

@@ -44,7 +44,7 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 def ingest_distances(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Route distances from JSON lines; the last line of a route wins.
 
-    Field names may be capitalised or not, blank lines are skipped, absent names become ''
+    Field names may be capitalised or not, blank lines and lines that are no JSON are skipped, absent names become ''
     and an absent distance 0; a distance that is no number is null. Line order is file path, split offset, then place in the scan.
     """
     lines = spark.read.text(paths).select(
@@ -60,7 +60,8 @@ def ingest_distances(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     def either(name: str, default: str):
         return F.coalesce(F.col("r")[name.capitalize()], F.col("r")[name], F.lit(default))
 
-    typed = parsed.select(
+    # A line that is no JSON is no record; it must not stand for the route of empty names.
+    typed = parsed.where("r is not null").select(
         either("origin", "").alias("origin"),
         either("dest", "").alias("dest"),
         either("distance", "0").try_cast("double").alias("distance"),

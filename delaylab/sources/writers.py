@@ -29,15 +29,24 @@ def write_distances(distances: DataFrame, path: str) -> None:
 
 
 def write_daily(
-    df: DataFrame, path: str, moment: str = "Timestamp", rebalance: bool = True
+    df: DataFrame, path: str, moment: str = "Timestamp", rebalance: bool = True,
+    day: str | None = None,
 ) -> None:
     """Replace exactly the days present in ``df``; other days stay as they are.
 
+    With ``day`` (yyyy-mm-dd) that day alone is replaced by its rows in ``df``, and emptied if it
+    has none; without it a day that ``df`` does not mention keeps its rows.
+
     Rows are rebalanced by day: adaptive execution joins small days and splits a large one,
     so a day is neither one huge file nor one sliver per task. Rows that already come from
     well-sized files of one day need no such shuffle (``rebalance=False``). Running a day
     again gives the same table.
     """
+    if day is not None:
+        df.where(F.to_date(moment) == F.lit(day).cast("date")).write.mode("overwrite").option(
+            "maxRecordsPerFile", FILE_ROWS
+        ).parquet(f"{path}/request_date={day}")
+        return
     dated = df.withColumn("request_date", F.to_date(moment))
     (
         (dated.hint("rebalance", "request_date") if rebalance else dated)
