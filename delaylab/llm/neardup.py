@@ -7,13 +7,19 @@ with all shingles in one order, rare ones first, two sets within the radius shar
 first (1 - t) n + 1 of either (a set may lack no more than that of a partner's), so a region for
 each such shingle holds every pair that can link.
 
-Within regions the join goes on in rounds. In a round each class is measured against one pivot,
-the root of another component that it meets in most of its regions. Classes within the radius of
+The place of a shingle in a set bounds what the set can share: whatever stands before the first
+common shingle is not common. Together with the size this gives each class a window of partner
+sizes in each of its regions, and a class whose window holds no size of the region leaves it.
+
+Within regions the join goes on in rounds. In a round each class is measured against one pivot of
+another component, the one it meets in most of its regions. A region's first pivot is the class
+whose shingle stands nearest to the front: it has fewest shingles of its own, so it lies nearest
+to the middle of a group of copies; later pivots are drawn by a hash. Classes within the radius of
 their pivot are linked, and join its component; what links a component needs no further pairs
 inside it, so a group of copies costs one measurement per copy, not one per pair. Regions in which
 one component is left are done. When few pairs of different components are left, they are all
-measured, except those that the triangle inequality excludes: by the distances of both to the
-same pivot, and by 128 coordinates, the distances of a set to the empty set within 128 parts of
+measured, except those outside each other's windows and those that the triangle inequality
+excludes: by the distances of both to the same pivot, and by 128 coordinates, the distances of a set to the empty set within 128 parts of
 the shingle space. The sum of their differences is never more than what two sets differ by.
 
 Every measurement counts the true intersection; the order of the shingles, the number of rounds
@@ -279,7 +285,10 @@ class _Join:
         return docs
 
     def regions(self) -> tuple[DataFrame, DataFrame]:
-        """(shingle, class) where a shingle opens several prefixes, and (class, n, points)."""
+        """(shingle, class, n, at) where a shingle opens several prefixes, and (class, n, points).
+
+        ``at`` is the shingle's place in the class.
+        """
         rows = self.frequent.collect()
         values = np.array([r.shingle for r in rows], np.int64).view(np.uint64)
         order = np.argsort(values)
@@ -294,15 +303,18 @@ class _Join:
             F.any_value(c).alias(c) for c in ("n", "shingles", "cold", "points")
         ))
         fronts = materialize(one, "fronts")
-        opened = fronts.select("class", "cold", F.posexplode("shingles").alias("at", "shingle"))
+        opened = fronts.select(
+            "class", F.col("n").cast("int").alias("n"), "cold", F.posexplode("shingles").alias("at", "shingle")
+        )
+        named = ["shingle", "class", "n", "at"]
         group = Window.partitionBy("shingle")
         shared_ones = (
-            opened.where("at < cold").select("shingle", "class")
+            opened.where("at < cold").select(*named)
             .withColumn("lo", F.min("class").over(group)).withColumn("hi", F.max("class").over(group))
-            .where("lo <> hi").select("shingle", "class")
+            .where("lo <> hi").select(*named)
         )
         # Frequent shingles are shared anyway and could be hot: they need no look at their group.
-        regions = shared_ones.unionByName(opened.where("at >= cold").select("shingle", "class"))
+        regions = shared_ones.unionByName(opened.where("at >= cold").select(*named))
         kept = materialize(regions, "regions"), materialize(fronts.select("class", "n", "points"), "points")
         dropped(fronts)
         return kept
@@ -350,13 +362,28 @@ class _Join:
 
 
 def _labelled(regions: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(shingle, class, comp) of the regions that are still open; one that is done stays done."""
-    regions = regions.select("shingle", "class")
+    """(shingle, class, n, at, comp) of the regions that are still open; one that is done stays done."""
+    regions = regions.select("shingle", "class", "n", "at")
     if labels is None:
         return regions.withColumn("comp", F.col("class"))
     named = labels.select(F.col("node").alias("class"), F.col("component").alias("comp"))
     return regions.join(named, "class", "left").select(
-        "shingle", "class", F.coalesce("comp", "class").alias("comp")
+        "shingle", "class", "n", "at", F.coalesce("comp", "class").alias("comp")
+    )
+
+
+def _window(percent: int):
+    """Smallest and largest size of a partner whose first common shingle is this row's."""
+    # inter >= percent / 100 * union, union >= n and union = n + size - inter.
+    smallest = F.expr(f"(n * {percent}L + 99) div 100")
+    largest = F.expr(f"((n - at) * {100 + percent}L) div {percent} - n")
+    return smallest, largest
+
+
+def _in_reach(percent: int):
+    """Whether x and y can link with the region's shingle as the first that they share."""
+    return F.expr(
+        f"least(x.n - x.at, y.n - y.at) * {100 + percent}L >= (x.n + y.n) * {percent}L"
     )
 
 
@@ -370,12 +397,22 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     rows = join.classes()
     regions, points = join.regions()
     links = labels = first = done = None
-    left_before = None
+    left_before, round_ = None, 0
     while True:
         open_ = _labelled(regions, labels)
-        ends = open_.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        ends = ends.where("lo <> hi")
-        still = materialize(open_.join(ends, "shingle"), "open-regions")
+        # The region's pivot: first the class nearest to the middle, then one drawn by a hash.
+        drawn = F.xxhash64("class", F.lit(round_))
+        rank = F.struct("at", drawn.alias("h"), "class") if round_ == 0 else F.struct(drawn.alias("h"), "class")
+        ends = open_.groupBy("shingle").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"),
+            F.min_by(F.struct("class", "comp"), rank).alias("pivot"),
+        )
+        ends = ends.where("lo <> hi").drop("lo", "hi")
+        smallest, largest = _window(percent)
+        still = materialize(
+            open_.join(ends, "shingle").where((smallest <= F.col("n_hi")) & (largest >= F.col("n_lo"))),
+            "open-regions",
+        )
         dropped(regions)
         regions = open_ = still
         # Pairs of different components, counted by region: all pairs less those inside one.
@@ -388,10 +425,12 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
             break
         if left_before is not None and (left <= PAIRS_LEFT * members or left > 0.9 * left_before):
             break
-        left_before = left
-        # Each class and the component root it meets in most of its regions.
-        other = F.when(F.col("comp") != F.col("lo"), F.col("lo")).otherwise(F.col("hi"))
-        met = open_.select("class", other.alias("pivot")).groupBy("class", "pivot").count()
+        left_before, round_ = left, round_ + 1
+        # Each class and the pivot of another component that it meets in most of its regions.
+        met = (
+            open_.where(F.col("comp") != F.col("pivot.comp"))
+            .select("class", F.col("pivot.class").alias("pivot")).groupBy("class", "pivot").count()
+        )
         best = met.groupBy("class").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
         pairs = best.select(F.col("class").alias("a"), F.col("pivot").alias("b"))
         if done is not None:
@@ -407,12 +446,12 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     if left:
         # All pairs that are left, less those that a common pivot's distances exclude.
         radius = (100 - percent) / 100 + 1e-9
+        open_ = open_.drop("pivot")
         if first is not None:
             open_ = open_.join(first, "class", "left")
         else:
             open_ = open_.withColumn("pivot", F.lit(None).cast("long")).withColumn(
                 "distance", F.lit(None).cast("double"))
-        open_ = open_.join(points.select("class", "n"), "class")
         x, y = open_.alias("x"), open_.alias("y")
         far = (F.col("x.pivot") == F.col("y.pivot")) & (
             F.abs(F.col("x.distance") - F.col("y.distance")) > radius
@@ -421,7 +460,7 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
             y,
             (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") < F.col("y.class"))
             & (F.col("x.comp") != F.col("y.comp"))
-            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+            & _in_reach(percent)
             & ~F.coalesce(far, F.lit(False)),
         ).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
         found = join.measured(pairs, points)
