@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from delaylab.functions.text import DELAY_SPLITS
 from delaylab.operators.features import derive_route, strip_ml_columns
-from delaylab.session import fits_cores, spread
 
 # The inputs of the classifier in the order of the feature vector.
 NUMERIC = ["DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "DayOfYear"]
@@ -25,9 +24,10 @@ LABEL = "ArrDelayBucket"
 VECTOR = "Features_vec"
 PREDICTION = "Prediction"
 
-#: Distinct values up to which a category keeps a dictionary; beyond, it is hashed.
-#: The dictionary lives on the driver and its size is the forest's number of bins.
+#: Distinct values (an estimate) above which fitting a dictionary is refused: the dictionary
+#: lives on the driver and its size is the forest's number of bins.
 DICTIONARY_LIMIT = 20_000
+#: Slots of the categories that ``encoding`` names as hashed.
 HASHED_WIDTH = 1 << 12
 
 RUNS = T.StructType([
@@ -108,11 +108,20 @@ def vector_slots(df: DataFrame, size: int) -> DataFrame:
 
 
 def encoders(
-    features: DataFrame, distinct: dict[str, int], limit: int = DICTIONARY_LIMIT
+    features: DataFrame, distinct: dict[str, int], encoding: dict[str, str] | None = None,
+    limit: int = DICTIONARY_LIMIT, width: int = HASHED_WIDTH,
 ) -> tuple[list[Transformer], list[str], int]:
-    """Fitted category encoders, the columns they give, and the size of the largest dictionary."""
-    indexed = [c for c in CATEGORIES if distinct[c] <= limit]
-    hashed = [c for c in CATEGORIES if c not in indexed]
+    """Fitted category encoders, the columns they give, and the size of the largest dictionary.
+
+    ``encoding`` gives "dictionary" (the default) or "hashed" per category. The data never
+    choose: a dictionary that would be too large is an error.
+    """
+    encoding = encoding or {}
+    hashed = [c for c in CATEGORIES if encoding.get(c) == "hashed"]
+    indexed = [c for c in CATEGORIES if c not in hashed]
+    for c in indexed:
+        if distinct[c] > limit:
+            raise ValueError(f"{c} has about {distinct[c]} values, over {limit}: encode it as \"hashed\"")
     stages, outputs, largest = [], [], 0
     if indexed:
         indexer = fit_indexer(features, indexed)
@@ -121,7 +130,7 @@ def encoders(
         outputs += [f"{c}_index" for c in indexed]
     if hashed:
         stages.append(
-            FeatureHasher(inputCols=hashed, outputCol="hashed", numFeatures=HASHED_WIDTH)
+            FeatureHasher(inputCols=hashed, outputCol="hashed", numFeatures=width)
         )
         outputs.append("hashed")
     return stages, outputs, largest
@@ -131,31 +140,31 @@ def train(
     features: DataFrame,
     settings: ForestSettings = ForestSettings(),
     profile: Profile | None = None,
+    encoding: dict[str, str] | None = None,
     dictionary_limit: int = DICTIONARY_LIMIT,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit dictionaries, assembler and forest as one model from route to prediction.
 
     ``features`` should be a stored table: the forest scans it a few times before it caches
-    its own compact form of the rows. Only a small input is cached for those scans.
+    its own compact form of the rows. The forest's samples follow the partitions;
+    ``partitions`` deals the rows out by their content, so that a fit does not depend on how
+    the table is split into files nor on the cores at hand.
     """
     profile = profile or profile_training(features)
     labelled = bucketize_delay(derive_route(features))
-    stages, encoded, largest = encoders(labelled, profile.distinct, dictionary_limit)
+    stages, encoded, largest = encoders(labelled, profile.distinct, encoding, dictionary_limit)
     vectors = assembler(NUMERIC + encoded)
     encode = PipelineModel([*stages, vectors])
-    ready = encode.transform(spread(labelled, profile.rows)).select(VECTOR, LABEL)
+    if partitions is not None:
+        labelled = labelled.repartition(partitions, F.xxhash64(*sorted(labelled.columns)))
+    ready = encode.transform(labelled).select(VECTOR, LABEL)
     forest = RandomForestClassifier(
         featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION,
         numTrees=settings.trees, maxDepth=settings.depth, seed=settings.seed,
         maxBins=max(settings.least_bins, largest + 1), maxMemoryInMB=settings.memory_mb,
     )
-    if not fits_cores(features.sparkSession, profile.rows):
-        return PipelineModel([*stages, vectors, forest.fit(ready)])
-    ready.persist()
-    try:
-        return PipelineModel([*stages, vectors, forest.fit(ready)])
-    finally:
-        ready.unpersist()
+    return PipelineModel([*stages, vectors, forest.fit(ready)])
 
 
 def score(requests: DataFrame, model: PipelineModel) -> DataFrame:

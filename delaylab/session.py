@@ -59,23 +59,6 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def fits_cores(spark: SparkSession, rows: int, per_task: int = 1_000_000) -> bool:
-    """Whether ``rows`` are few enough that every core holds its share in memory."""
-    return rows < spark.sparkContext.defaultParallelism * per_task
-
-
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """Deal a small input out to all cores before work that is heavy per row.
-
-    A small table may lie in a single file and would keep a single core busy. An input with
-    rows enough for every core is left as it is, so large tables are never shuffled here.
-    """
-    spark = df.sparkSession
-    if fits_cores(spark, rows):
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

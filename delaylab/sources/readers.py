@@ -81,12 +81,20 @@ def read_distances(spark: SparkSession, path: str) -> DataFrame:
 def read_flight_files(spark: SparkSession, directory: str, format: str = "csv") -> DataFrame:
     """Every ``format`` file (csv, json or parquet) of a directory under the flight schema.
 
-    The schema is given, so there is no inference pass; other files are left alone.
+    Other files are left alone. CSV columns are taken by the name in the header, in any order
+    and case; further columns are ignored, missing ones and values that cannot be cast are
+    null. All CSV files of a directory have to share one header: another one is an error.
     """
-    reader = spark.read.schema(schemas.FLIGHTS).format(format)
-    if format == "csv":
-        reader = reader.option("header", "true")
-    return reader.option("pathGlobFilter", f"*.{format}").load(directory)
+    reader = spark.read.format(format).option("pathGlobFilter", f"*.{format}")
+    if format != "csv":
+        return reader.schema(schemas.FLIGHTS).load(directory)
+    raw = reader.option("header", "true").option("enforceSchema", "false").load(directory)
+    named = {c.strip().lower(): c for c in reversed(raw.columns)}
+    return raw.select(*[
+        (F.col(f"`{named[f.name.lower()]}`") if f.name.lower() in named else F.lit(None))
+        .try_cast(f.dataType).alias(f.name)
+        for f in schemas.FLIGHTS
+    ])
 
 
 def stream_topic(

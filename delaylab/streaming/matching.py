@@ -15,7 +15,8 @@ def drop_duplicates(
     With ``spread``, a column that differs between copies such as the message offset,
     copies are first reduced per key and salt. That spreads the copies of a much repeated
     key over ``salts`` tasks, and the second step sees at most ``salts`` rows of any key.
-    The state of both steps is bounded by the watermark.
+    The state of both steps is bounded by the watermark. Rows older than the watermark are
+    dropped, copies or not: ``delay`` has to cover the longest outage or backfill.
     """
     marked = df.withWatermark(moment, delay)
     if spread is not None:
@@ -31,10 +32,11 @@ def match_responses(
 
     ``requests`` has UUID and asked_at, ``responses`` has uuid, answered_at and prediction.
     A response counts if it comes within ``wait`` of its request; the time bound lets both
-    sides forget rows the watermark has passed.
+    sides forget rows the watermark has passed. A response delivered again within ``delay``
+    of the watermark is taken once, so it does not repeat its request.
     """
     asked = requests.withWatermark("asked_at", delay)
-    answered = responses.withWatermark("answered_at", delay)
+    answered = responses.withWatermark("answered_at", delay).dropDuplicatesWithinWatermark(["uuid"])
     bound = F.expr(
         f"UUID = uuid_ AND answered_at >= asked_at AND answered_at <= asked_at + INTERVAL {wait}"
     )

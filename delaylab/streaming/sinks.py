@@ -27,13 +27,13 @@ def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 def state_partitions(spark: SparkSession, wanted: int | None = None):
     """Number of state partitions for the streams started inside.
 
-    A stream keeps the number it first started with, so it is chosen for the stream and not
-    taken from what batch shuffles use; by default at most two partitions per core.
+    A stream keeps the number it first started with. Without ``wanted`` it is what the session
+    is configured with, whatever executors are there at the start.
     """
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    default = min(int(before), 2 * spark.sparkContext.defaultParallelism)
-    spark.conf.set(setting, str(wanted or default))
+    if wanted is not None:
+        spark.conf.set(setting, str(wanted))
     try:
         yield
     finally:

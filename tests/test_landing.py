@@ -1,5 +1,6 @@
 """Landing and scoring must not lose or invent rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from delaylab.operators import learning
@@ -37,3 +38,17 @@ def test_the_regressor_answers_every_request(spark):
     found = learning.predict_delay(asked, model).collect()
     assert len(found) == 200
     assert all((r.Delay is None) == (r.Distance is None) for r in found)
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("distance,More,Carrier,FlightDate\n59.0,x,AA,2015-01-02\nfar,y,DL,2015-01-03\n")
+    rows = readers.read_flight_files(spark, str(tmp_path)).orderBy("Carrier").collect()
+    assert [(r.FlightDate, r.Carrier, r.Distance, r.Origin) for r in rows] == [
+        ("2015-01-02", "AA", 59.0, None), ("2015-01-03", "DL", None, None)]
+
+
+def test_csv_files_of_two_layouts_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Carrier,Origin\nAA,ATL\n")
+    (tmp_path / "b.csv").write_text("Origin,Carrier\nATL,AA\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_flight_files(spark, str(tmp_path)).collect()

@@ -83,8 +83,13 @@ def test_accuracy_expression_equals_the_evaluator(table, model):
     assert value == pytest.approx(learning.accuracy(scored))
 
 
-def test_categories_above_the_limit_are_hashed(table, requests):
-    mixed = learning.train(table, SMALL, dictionary_limit=50)
+def test_a_dictionary_over_the_limit_is_refused(table):
+    with pytest.raises(ValueError, match="Route"):
+        learning.train(table, SMALL, dictionary_limit=50)
+
+
+def test_named_categories_are_hashed(table, requests):
+    mixed = learning.train(table, SMALL, encoding={"Route": "hashed"}, partitions=3)
     assert [type(s).__name__ for s in mixed.stages][:2] == ["StringIndexerModel", "FeatureHasher"]
     assert learning.score(requests, mixed).where("Prediction is null").isEmpty()
 
