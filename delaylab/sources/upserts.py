@@ -3,34 +3,52 @@
 Rewriting a table for every micro-batch costs its whole size. Here a batch writes only its
 own rows into its own folder, replaced as a whole if the batch is replayed, and readers take
 the last version per key with a partial aggregate. ``compact`` folds the versions together.
+
+Folders are named by run and batch. Batch numbers begin anew with every checkpoint, so several
+queries, or one with a new checkpoint, can share a table only because each has a run of its own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from delaylab import schemas
 from delaylab.operators.hotkeys import latest_per_key
 
-_BATCH = "batch"
+_RUN, _BATCH = "run", "batch"
+#: The run of what no query wrote. It sorts before the runs of queries, which begin with a time.
+NO_RUN = "0"
+#: A compacted table begins with this batch, older than any other.
+_BASE = -1
+
 
+def batch_folder(path: str, batch_id: int, run: str = NO_RUN) -> str:
+    """The folder of one batch of one run."""
+    return f"{path}/{_RUN}={run}/{_BATCH}={batch_id}"
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, key: str, order: list[str]) -> None:
+
+def write_batch(
+    rows: DataFrame, path: str, batch_id: int, key: str, order: list[str], run: str = NO_RUN
+) -> None:
     """Store the last version per key of one batch; writing the batch again replaces it."""
     latest = latest_per_key(rows, [key], order)
-    latest.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+    latest.write.mode("overwrite").parquet(batch_folder(path, batch_id, run))
 
 
 def read_latest(
     spark: SparkSession, path: str, key: str = "uuid", schema: StructType = schemas.RESPONSE
 ) -> DataFrame:
-    """One row per key: the version of the latest batch."""
-    stored = StructType([*schema.fields]).add(_BATCH, LongType())
+    """One row per key: the version of the latest batch, of the run that started last."""
+    stored = StructType([*schema.fields]).add(_RUN, StringType()).add(_BATCH, LongType())
     versions = spark.read.schema(stored).option("basePath", path).parquet(path)
-    return latest_per_key(versions, [key], [_BATCH]).drop(_BATCH)
+    return latest_per_key(versions, [key], [_RUN, _BATCH]).drop(_RUN, _BATCH)
 
 
 def compact(spark: SparkSession, path: str, into: str) -> None:
-    """Write the current rows as the first batch of a new table."""
-    read_latest(spark, path).write.parquet(f"{into}/{_BATCH}=0")
+    """Write the current rows as the base of a new table; every later batch there is newer.
+
+    Batches written to ``path`` meanwhile are not seen: stop its queries first, then let them go
+    on, with the checkpoints they have or with new ones, writing to ``into``.
+    """
+    read_latest(spark, path).write.parquet(batch_folder(into, _BASE))

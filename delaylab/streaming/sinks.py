@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
 from contextlib import contextmanager
+from typing import Protocol
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from delaylab.operators.features import response_projection
 from delaylab.sources import upserts
 from delaylab.streaming.topics import addressed, response_messages
 
-BatchSink = Callable[[DataFrame, int], None]
+
+class BatchSink(Protocol):
+    """Writes one batch of one run; written again, it replaces what it wrote before."""
+
+    def __call__(self, batch: DataFrame, batch_id: int, run: str = upserts.NO_RUN) -> None: ...
+
+
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """Start and id of the query that owns ``checkpoint``; names of later queries sort behind.
+
+    Both come from the file that a query writes when it first starts, so a restart keeps them.
+    A checkpoint that is moved has to keep its file times.
+    """
+    first = spark.read.text(f"{checkpoint}/metadata").select(
+        "value", F.unix_millis("_metadata.file_modification_time").alias("started")
+    ).first()
+    return f"{first.started:015d}-{json.loads(first.value)['id']}"
 
 
 def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -69,8 +87,8 @@ def publish_stream(
 def documents(path: str) -> BatchSink:
     """Scored requests as they are; a replayed batch replaces its own folder."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def write(batch: DataFrame, batch_id: int, run: str = upserts.NO_RUN) -> None:
+        batch.write.mode("overwrite").parquet(upserts.batch_folder(path, batch_id, run))
 
     return write
 
@@ -78,9 +96,9 @@ def documents(path: str) -> BatchSink:
 def response_table(path: str) -> BatchSink:
     """Rows of the response table, one per uuid."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, run: str = upserts.NO_RUN) -> None:
         rows = response_projection(addressed(batch))
-        upserts.write_batch(rows, path, batch_id, "uuid", ["timestamp"])
+        upserts.write_batch(rows, path, batch_id, "uuid", ["timestamp"], run)
 
     return write
 
@@ -88,12 +106,12 @@ def response_table(path: str) -> BatchSink:
 def response_topic(location: str, format: str = "parquet", **options: str) -> BatchSink:
     """Response messages of the batch."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, run: str = upserts.NO_RUN) -> None:
         writer = response_messages(addressed(batch)).write.format(format).options(**options)
         if format == "kafka":
             writer.option("topic", location).save()
         else:
-            writer.mode("overwrite").save(f"{location}/batch={batch_id}")
+            writer.mode("overwrite").save(upserts.batch_folder(location, batch_id, run))
 
     return write
 
@@ -104,14 +122,16 @@ def fan_out(
     """Feed every sink from one query: a batch is read and scored once, then written to each.
 
     All sinks see the same batches. A batch is replayed after a failure; file sinks replace
-    what they had written for it, so they end up with every message once.
+    what they had written for it, so they end up with every message once. Several queries may
+    share a sink: each writes to folders of its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = run_name(batch.sparkSession, checkpoint)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for sink in sinks.values():
-                sink(batch, batch_id)
+                sink(batch, batch_id, run)
         finally:
             batch.unpersist()
 
@@ -123,10 +143,5 @@ def fan_out(
 def upsert_stream(
     scored: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Keep the response table up to date, one row per uuid."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        response_table(path)(batch, batch_id)
-
-    writer = scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return triggered(writer, every).start()
+    """Keep the response table up to date, one row per uuid; queries may share the table."""
+    return fan_out(scored, {"table": response_table(path)}, checkpoint, every)

@@ -116,6 +116,51 @@ def test_later_batch_wins_and_compaction_keeps_it(spark):
     assert held(f"{path}/new") == expected
 
 
+def test_queries_share_sinks_and_a_compacted_table(spark, requests):
+    """Two queries, a new checkpoint and a compaction lose no rows; the later query wins."""
+    path = new_dir(spark, "t")
+    early = requests.where("Timestamp < '2024-01-15'")
+    late = requests.where("Timestamp >= '2024-01-15'")
+
+    def run(name, df, table):
+        publish(df, f"{path}/topic-{name}")
+        targets = {
+            "documents": sinks.documents(f"{path}/documents"),
+            "table": sinks.response_table(f"{path}/{table}"),
+            "topic": sinks.response_topic(f"{path}/responses"),
+        }
+        scored = learning.naive_score(stream(spark, f"{path}/topic-{name}"))
+        for _ in range(2):
+            sinks.fan_out(scored, targets, f"{path}/cp-{name}").awaitTermination()
+
+    def held(table):
+        rows = upserts.read_latest(spark, f"{path}/{table}").collect()
+        delays = {r["uuid"]: r["dep_delay"] for r in rows}
+        assert len(delays) == len(rows)
+        return delays
+
+    run("a", early, "table")
+    run("b", late, "table")
+    known = {r["UUID"]: r["DepDelay"] for r in requests.collect()}
+    assert held("table") == known
+    for sink, key in (("documents", "UUID"), ("responses", "key")):
+        ids = [r[0] for r in spark.read.parquet(f"{path}/{sink}").select(key).collect()]
+        assert sorted(ids) == sorted(known)
+
+    upserts.compact(spark, f"{path}/table", f"{path}/compacted")
+    assert held("compacted") == known
+    changed = requests.limit(3).withColumn("DepDelay", F.col("DepDelay") + 5)
+    run("c", changed, "compacted")
+    known |= {r["UUID"]: r["DepDelay"] for r in changed.collect()}
+    assert held("compacted") == known
+    # A table compacted again is older than what comes later, too.
+    upserts.compact(spark, f"{path}/compacted", f"{path}/again")
+    back = requests.limit(3)
+    run("d", back, "again")
+    known |= {r["UUID"]: r["DepDelay"] for r in back.collect()}
+    assert held("again") == known
+
+
 def test_repeated_messages_are_kept_once(spark, requests):
     path = new_dir(spark, "t")
     once = requests.limit(20)
