@@ -112,33 +112,44 @@ def _fan_out_targets(path: str) -> dict[str, sinks.BatchSink]:
     }
 
 
-def _sink_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows and identifiers each sink holds."""
+_HELD = ["uuid", "origin", "dest", "carrier", "flight_date", "dep_delay", "distance"]
+
+
+def _sink_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What each sink holds of every request; predictions come from a fitted model and are left out."""
+    sent = spark.read.parquet(f"{path}/responses").select(
+        messages.parse_response(F.col("value")).alias("r")
+    ).select("r.*")
     held = {
-        "documents": (spark.read.parquet(f"{path}/documents"), "UUID"),
-        "table": (upserts.read_latest(spark, f"{path}/table"), "uuid"),
-        "topic": (spark.read.parquet(f"{path}/responses"), "key"),
+        "documents": features.response_projection(spark.read.parquet(f"{path}/documents")),
+        "table": upserts.read_latest(spark, f"{path}/table"),
+        "topic": features.response_projection(sent.withColumnRenamed("prediction", "Prediction")),
     }
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("rows"), F.count(key).alias("identified"))
-        .select(F.lit(name).alias("sink"), "rows", "identified")
-        for name, (df, key) in held.items()
-    ]
+    parts = [df.select(F.lit(name).alias("sink"), *_HELD) for name, df in held.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 _SINK_SQL = " UNION ALL ".join(
-    f"SELECT '{name}' AS sink, count(*) AS rows, count(UUID) AS identified FROM requests"
+    f"SELECT '{name}' AS sink, {', '.join(_HELD)} FROM responses"
     for name in ("documents", "table", "topic")
 )
 
 
-@query("stream_fanout", _SINK_SQL, ["requests"])
+@query("stream_fanout", _SINK_SQL, ["responses"])
 def stream_fanout(spark, sf_dir):
+    """Two queries with checkpoints of their own share the sinks; the table is compacted after them."""
     path = new_dir(spark, "fanout")
-    scored = learning.score(_request_stream(spark, sf_dir, path), scorer(spark, sf_dir))
-    sinks.fan_out(scored, _fan_out_targets(path), f"{path}/checkpoint").awaitTermination()
-    return _sink_counts(spark, path)
+    requests = prepared_requests(spark, sf_dir)
+    model = scorer(spark, sf_dir)
+    targets = _fan_out_targets(path) | {"table": sinks.response_table(f"{path}/versions")}
+    for part in range(2):
+        mine = requests.where(F.pmod(F.xxhash64("UUID"), F.lit(2)) == part)
+        topics.request_log(mine).write.parquet(f"{path}/topic-{part}")
+        parsed = topics.parse_requests(readers.stream_topic(spark, f"{path}/topic-{part}"))
+        scored = learning.score(parsed, model)
+        sinks.fan_out(scored, targets, f"{path}/checkpoint-{part}").awaitTermination()
+    upserts.compact(spark, f"{path}/versions", f"{path}/table")
+    return _sink_rows(spark, path)
 
 
 @query("stream_dedup_requests", f"SELECT {REQUEST} FROM prepared", ["prepared"])
@@ -193,7 +204,7 @@ def stream_response_join(spark, sf_dir):
     )
 
 
-@query("job_stream_score", _SINK_SQL, ["requests"])
+@query("job_stream_score", _SINK_SQL, ["responses"])
 def job_stream_score(spark, sf_dir):
     """The streaming job over the whole request topic."""
     path = new_dir(spark, "job-stream")
@@ -205,4 +216,4 @@ def job_stream_score(spark, sf_dir):
         readers.stream_topic(spark, f"{path}/topic"), model_path(spark, sf_dir),
         stored_distances(spark, sf_dir), _fan_out_targets(path), f"{path}/checkpoint",
     ).awaitTermination()
-    return _sink_counts(spark, path)
+    return _sink_rows(spark, path)
