@@ -9,6 +9,11 @@ occurrence are taken out. Everything is column expressions.
 The texts are written once in chunks. Counting needs a hash and a number per chunk; only chunks
 whose hash repeats send their bytes, to be grouped by hash and bytes with a partial aggregate, so
 a passage that a third of all rows share is combined before it travels.
+
+Chunks at the ends of a passage hold neighbouring lines too and do not repeat, and a short passage
+may hold no whole chunk. So windows of two lines, blank lines between them included, are compared
+in the same way afterwards, over chunk boundaries as well. Windows inside a chunk that is taken out
+are left aside: they stand in the chunk's first occurrence too.
 """
 
 from __future__ import annotations
@@ -18,8 +23,10 @@ from pyspark.sql import functions as F
 
 from delaylab.llm.scratch import stored as materialize
 
-#: Lines from which a repeated chunk is removed.
+#: Lines from which a repeated passage is removed.
 LEAST_LINES = 2
+#: A character that is no white space.
+VISIBLE = r"[^\x20\x09-\x0D]"
 #: Slots of the broadcast filter that keeps most chunks that do not repeat from travelling. It has
 #: at most so many rows (16 bytes each), however many hashes repeat; when they fill it, more
 #: chunks travel, with the same result.
@@ -40,7 +47,7 @@ def _minima(rolling: Column, n: Column) -> Column:
 
 
 def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, doc, chunks): rows numbered, with their text in chunks (text, lines, hash).
+    """(row, doc, chunks): rows numbered, with their text in chunks (text, start, lines, hash).
 
     The chunks of a text, joined by line ends, are the text again. A null text has null chunks.
     """
@@ -63,6 +70,7 @@ def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
         upto = F.coalesce(F.get("starts", i + 1), F.size("lines"))
         return F.struct(
             F.array_join(F.slice("lines", start + 1, upto - start), "\n").alias("text"),
+            start.alias("start"),
             (upto - start).alias("lines"),
         )
 
@@ -72,18 +80,26 @@ def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
     return parts.select(
         "row", "doc",
         F.transform(
-            "parts", lambda p: F.struct(p["text"], p["lines"], F.xxhash64(p["text"]).alias("hash"))
+            "parts",
+            lambda p: F.struct(p["text"], p["start"], p["lines"], F.xxhash64(p["text"]).alias("hash")),
         ).alias("chunks"),
     )
 
 
+def _in_slots(each: DataFrame, often: DataFrame) -> DataFrame:
+    """Rows of ``each`` whose hash may be in ``often``; most others do not travel."""
+    slot = F.pmod("hash", F.lit(SLOTS)).alias("slot")
+    slots = often.select(slot).distinct()
+    return each.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+
+
 def repeated_chunks(stored: DataFrame, least_lines: int = LEAST_LINES) -> DataFrame:
-    """(row, at): every occurrence after the first of a chunk of ``least_lines`` or more.
+    """(row, at, start, upto): every occurrence after the first of a chunk of ``least_lines`` or more.
 
     Occurrences are ordered by row number, then by place. Blank chunks are left alone.
     """
     each = stored.select("row", F.posexplode("chunks").alias("at", "chunk")).where(
-        (F.col("chunk.lines") >= least_lines) & F.col("chunk.text").rlike(r"[^\x20\x09-\x0D]")
+        (F.col("chunk.lines") >= least_lines) & F.col("chunk.text").rlike(VISIBLE)
     )
     often = materialize(
         each.groupBy(F.col("chunk.hash").alias("hash")).agg(F.count("*").alias("n"))
@@ -91,44 +107,106 @@ def repeated_chunks(stored: DataFrame, least_lines: int = LEAST_LINES) -> DataFr
         "repeated-hashes",
     )
     candidates = each.select(
-        F.col("chunk.hash").alias("hash"), F.col("chunk.text").alias("text"), "row", "at"
-    ).withColumn("slot", F.pmod("hash", F.lit(SLOTS)))
-    slots = often.select(F.pmod("hash", F.lit(SLOTS)).alias("slot")).distinct()
-    candidates = candidates.join(F.broadcast(slots), "slot", "left_semi").drop("slot").join(
-        often, "hash", "left_semi"
+        F.col("chunk.hash").alias("hash"), F.col("chunk.text").alias("text"), "row", "at",
+        F.col("chunk.start").alias("start"), (F.col("chunk.start") + F.col("chunk.lines") - 1).alias("upto"),
     )
+    candidates = _in_slots(candidates, often).join(often, "hash", "left_semi")
     order = F.struct("row", "at")
     firsts = candidates.groupBy("hash", "text").agg(
         F.min(order).alias("first"), F.count("*").alias("n")
     ).where("n > 1")
     firsts = materialize(firsts.select("hash", "text", "first"), "first-chunks")
-    return candidates.join(firsts, ["hash", "text"]).where(order != F.col("first")).select("row", "at")
+    return candidates.join(firsts, ["hash", "text"]).where(order != F.col("first")).select(
+        "row", "at", "start", "upto"
+    )
+
+
+def _windows(stored: DataFrame, least_lines: int) -> DataFrame:
+    """(row, start, upto, at, text, hash) of every ``least_lines`` visible lines that follow each other.
+
+    The text holds the blank lines between them. ``at`` is the chunk that holds all of them, if any.
+    """
+    lined = stored.where("chunks is not null").select(
+        "row",
+        F.split(F.array_join(F.transform("chunks", lambda c: c["text"]), "\n"), "\n", -1).alias("lines"),
+        F.flatten(F.transform("chunks", lambda c, k: F.array_repeat(k, c["lines"]))).alias("of"),
+    )
+    seen = lined.withColumn(
+        "seen",
+        F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(VISIBLE)),
+    )
+
+    def window(start: Column, k: Column) -> Column:
+        upto = F.get("seen", k + (least_lines - 1))
+        return F.struct(
+            start.alias("start"), upto.alias("upto"),
+            F.when(F.get("of", start) == F.get("of", upto), F.get("of", start)).alias("at"),
+            F.array_join(F.slice("lines", start + 1, upto - start + 1), "\n").alias("text"),
+        )
+
+    each = seen.select("row", F.explode(F.transform("seen", window)).alias("window"))
+    return each.select("row", "window.*").where("upto is not null").withColumn("hash", F.xxhash64("text"))
+
+
+def repeated_windows(stored: DataFrame, removed: DataFrame, least_lines: int = LEAST_LINES) -> DataFrame:
+    """(row, start, upto): windows of ``least_lines`` visible lines that stand in an earlier place.
+
+    ``removed`` are the chunks taken out (row, at). An earlier place that shares a line with the
+    window, in a run of equal lines, does not count.
+    """
+    each = _windows(stored, least_lines)
+    inside = removed.select("row", "at")
+    often = materialize(
+        each.select("row", "at", "hash").join(inside, ["row", "at"], "left_anti")
+        .groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"),
+        "repeated-window-hashes",
+    )
+    candidates = materialize(
+        _in_slots(each, often).join(inside, ["row", "at"], "left_anti").drop("at")
+        .join(often, "hash", "left_semi"),
+        "windows",
+    )
+    firsts = candidates.groupBy("hash", "text").agg(
+        F.min(F.struct("row", "start", "upto")).alias("first"), F.count("*").alias("n")
+    ).where("n > 1")
+    firsts = materialize(firsts.select("hash", "text", "first"), "first-windows")
+    apart = (F.col("row") != F.col("first.row")) | (F.col("start") > F.col("first.upto"))
+    return candidates.join(firsts, ["hash", "text"]).where(apart).select("row", "start", "upto")
 
 
 def without_repeats(docs: DataFrame, text: str = "text", least_lines: int = LEAST_LINES) -> DataFrame:
     """The documents, without multi-line passages that stand in an earlier place.
 
-    Columns and their order are those of ``docs``. A passage is a content-defined chunk of
-    ``least_lines`` lines or more; its first place in the order of the rows of ``docs`` keeps it,
-    every other place loses it, within a document as well. Documents that lose all their text are
-    dropped; documents that had none (null or empty) stay as they are. Of repeated rows the first
-    stays. A long run of equal lines is one chunk. An empty table gives an empty one; columns of
-    any name may be present.
+    Columns and their order are those of ``docs``. A passage is ``least_lines`` visible lines or
+    more that follow each other, or a content-defined chunk of so many lines; its first place in
+    the order of the rows of ``docs`` keeps it, every other place loses it, within a document as
+    well. A line stays at its first place of all; a passage whose first place overlaps an earlier
+    passage is kept in parts. Documents that lose all their text are dropped; documents that had
+    none (null or empty) stay as they are. Of repeated rows the first stays. An empty table gives
+    an empty one; columns of any name may be present.
     """
     stored = materialize(chunked(docs, text), "chunks")
-    removed = repeated_chunks(stored, least_lines)
-    lost = removed.groupBy("row").agg(F.collect_set("at").alias("lost"))
-    joined = stored.join(lost, "row", "left")
-    left = F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), F.col("lost"))
-    kept = F.when(F.col("lost").isNull(), F.col("chunks")).otherwise(
-        F.transform(left, lambda i: F.get("chunks", i))
-    )
-    rebuilt = joined.select(
-        "doc", "lost", F.transform(kept, lambda c: c["text"]).alias("kept")
-    ).where(F.col("lost").isNull() | (F.size("kept") > 0))
+    removed = materialize(repeated_chunks(stored, least_lines), "removed-chunks")
+    gone = removed.select("row", "start", "upto").unionByName(
+        repeated_windows(stored, removed, least_lines)
+    )
+    lost = gone.groupBy("row").agg(F.collect_list(F.struct("start", "upto")).alias("lost"))
+    joined = stored.join(lost, "row", "left").select(
+        "doc", "lost", F.array_join(F.transform("chunks", lambda c: c["text"]), "\n").alias("whole")
+    )
+    lined = joined.withColumn("lines", F.when(F.col("lost").isNotNull(), F.split("whole", "\n", -1)))
+    left = F.array_except(
+        F.sequence(F.lit(0), F.size("lines") - 1),
+        F.flatten(F.transform("lost", lambda r: F.sequence(r["start"], r["upto"]))),
+    )
+    kept = F.when(F.col("lost").isNull(), F.col("whole")).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
+    )
+    rebuilt = lined.select("doc", "lost", kept.alias("kept")).where(
+        F.col("lost").isNull() | F.col("kept").rlike(VISIBLE)
+    )
     return rebuilt.select(*(
-        F.array_join("kept", "\n").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c)
-        for c in docs.columns
+        F.col("kept").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in docs.columns
     ))
 
 

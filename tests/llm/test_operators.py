@@ -253,6 +253,43 @@ def test_line_dedup_removes_shared_passages_wherever_they_stand(spark, tmp_path)
         assert r[1] == texts[r[0]]
 
 
+def brute_passages(texts):
+    """Texts by row without pairs of visible lines that stand in an earlier place of their own."""
+    first, left = {}, []
+    for row, text in enumerate(texts):
+        lines = text.split("\n")
+        seen = [i for i, line in enumerate(lines) if visible(line)]
+        lost = set()
+        for start, upto in zip(seen, seen[1:]):
+            place = first.setdefault(tuple(lines[start : upto + 1]), (row, upto))
+            if place < (row, start):
+                lost |= set(range(start, upto + 1))
+        left.append("\n".join(x for i, x in enumerate(lines) if i not in lost))
+    return left
+
+
+def test_line_dedup_finds_short_passages_inside_texts(spark, tmp_path):
+    rng = random.Random(31)
+    line = lambda: prose(rng, rng.randint(3, 9)) + f" {rng.random()}"
+    passages = [[line() for _ in range(n)] for n in (2, 3, 4, 5, 6) for _ in range(12)]
+    texts = []
+    for passage in passages * 3:
+        own = [[line() for _ in range(rng.randint(1, 7))] for _ in range(2)]
+        texts.append("\n".join(own[0] + passage + own[1]))
+    single = line()
+    # Single lines between blank ones stay, a gap inside a passage does not hide it.
+    texts += [f"{line()}\n\n{single}\n\n{line()}" for _ in range(3)]
+    texts += [f"{line()}\ngap one\n\ngap two\n{line()}" for _ in range(2)]
+    texts += ["\n".join([line(), *["same same"] * n, line()]) for n in (3, 4, 5)]
+    path = str(tmp_path / "texts")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    found = {r.doc_id: r.text for r in linededup.without_repeats(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_passages(texts)
+    lines = Counter(x for t in found.values() for x in t.split("\n"))
+    assert all(lines[x] == 1 for passage in passages for x in passage) and lines[single] == 3
+
+
 # Quality
 
 def brute_statistics(text):
