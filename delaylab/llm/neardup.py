@@ -495,7 +495,12 @@ def near_duplicates(
     columns do not matter. An empty table gives an empty one. Sets and shingles are told apart by
     64-bit hashes.
     """
-    rows, labels = jaccard_links(_numbered(docs, key, text), k, percent)
+    return _grouped(_numbered(docs, key, text), k, percent)
+
+
+def _grouped(numbered: DataFrame, k: int, percent: int) -> DataFrame:
+    """:func:`near_duplicates` of documents (row, key, text)."""
+    rows, labels = jaccard_links(numbered, k, percent)
     named = rows.join(
         labels.select(F.col("node").alias("class"), F.col("component").alias("_comp")), "class", "left"
     ).withColumn("_label", F.coalesce("_comp", "class"))
@@ -511,13 +516,24 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80
 ) -> DataFrame:
-    """One document of each component: the one with the smallest key, the first of equal keys."""
-    found = near_duplicates(docs, key, text, k, percent)
+    """One document of each component: the one with the smallest key, the first of equal keys.
+
+    The rows are numbered once and stored, so that no later scan can give a number to another row.
+    """
+    numbered = materialize(
+        docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "numbered"
+    )
+    found = _grouped(
+        numbered.select(
+            "row", F.col(f"doc.`{key}`").alias("key"),
+            F.coalesce(F.col(f"doc.`{text}`"), F.lit("")).alias("text"),
+        ),
+        k, percent,
+    )
     first = F.min_by("row", F.struct(F.col("key").isNull(), "key", "row"))
     ranked = found.join(found.groupBy("group").agg(first.alias("first")), "group")
     # The rows that go are few beside those that stay, so they are the side to be sent.
     gone = materialize(ranked.where("row <> first").select("row"), "gone-rows")
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
     return numbered.join(gone, "row", "left_anti").select("doc.*")
 
 

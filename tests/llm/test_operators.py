@@ -461,6 +461,33 @@ def test_near_duplicates_keep_one_of_each_group(spark, tmp_path):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_go_by_numbers_of_one_scan(spark, tmp_path):
+    rng = random.Random(17)
+    texts = [prose(rng, 30) + f" {rng.random()}" for _ in range(12)]
+    path = str(tmp_path / "files")
+    rows = [(i, t) for i, t in enumerate(texts * 2)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6, "doc_id").write.parquet(path)
+    docs = spark.read.parquet(path)
+    # Splits as with one core before the groups are known, as with many after.
+    changed = {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {name: spark.conf.get(name, None) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        one = docs.rdd.getNumPartitions()
+        kept = neardup.drop_near_duplicates(docs)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000000")
+    try:
+        again = spark.read.parquet(path)
+        assert one == 1 < again.rdd.getNumPartitions()
+        assert sorted(map(tuple, kept.collect())) == rows[:12]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 # Licence notices
 
 def test_exact_notices_equal_brute_force_and_fuzzy_ones_are_found(spark, tmp_path):
