@@ -10,12 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from delaylab.llm import (
-    chat, decontamination, language, licenses, linededup, neardup, packing, quality, runs, sharding, urls,
+    chat, decontamination, language, licenses, linededup, neardup, packing, quality, runs, search,
+    sharding, urls,
 )
 from delaylab.llm.scratch import small_batches
 
 MODULES = (
     sharding, decontamination, language, packing, linededup, quality, urls, chat, neardup, licenses, runs,
+    search,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaylab.llm.textbytes import CHUNK_BYTES, spare
+from delaylab.llm.textbytes import CHUNK_BYTES, ranges, spare
 
 #: A run has this many words at least, and its period this many times.
 LEAST_LENGTH, LEAST_COPIES = 6, 4
@@ -109,14 +109,6 @@ def _smaller(lcp: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return place - 1, behind(depth), behind(depth + 1)
 
 
-def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all ranges one after the other, and the range of each."""
-    sizes = np.maximum(ends - starts, 0)
-    owner = np.repeat(np.arange(len(starts)), sizes)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return starts[owner] + offset, owner
-
-
 def branching_squares(
     order: np.ndarray, levels: list[np.ndarray], least_copies: int = 2
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +148,7 @@ def branching_squares(
     largest = np.zeros(len(ranked), bool)
     largest[ranked[np.searchsorted(owner[ranked], np.arange(len(left)))]] = True
     small = ~largest
-    leaf, child = _ranges(starts[small], ends[small])
+    leaf, child = ranges(starts[small], ends[small])
     node = owner[small][child]
     child_low, child_high = starts[small][child], ends[small][child]
     here, period = order[leaf], depth[node]

@@ -13,10 +13,10 @@ _owned: dict[str, list[str]] = {}
 _owner: list[str] = []
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str | int) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; see :func:`dropped`."""
     path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     if _owner:
         _owned.setdefault(_owner[-1], []).append(path)
     again = df.sparkSession.read.schema(df.schema).parquet(path)

@@ -135,6 +135,14 @@ def sequence_hash(columns: list[np.ndarray]) -> np.ndarray:
     return mix(total)
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after the other, and the range of each; empty ones are allowed."""
+    sizes = np.maximum(ends - starts, 0)
+    owner = np.repeat(np.arange(len(starts)), sizes)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return starts[owner] + offset, owner
+
+
 def spare(df, names) -> list[str]:
     """Columns of ``df`` whose names the operator does not write itself (any case)."""
     taken = {name.lower() for name in names}
