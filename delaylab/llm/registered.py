@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from delaylab.llm import (
     chat, decontamination, language, licenses, linededup, neardup, packing, quality, runs, search,
-    sharding, urls,
+    sharding, urls, vectors,
 )
 from delaylab.llm.scratch import small_batches
 
 MODULES = (
     sharding, decontamination, language, packing, linededup, quality, urls, chat, neardup, licenses, runs,
-    search,
+    search, vectors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
