@@ -85,23 +85,17 @@ def _sign_keys(passes: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
         places = np.int64(1) << np.arange(_BITS - 1, -1, -1, dtype=np.int64)
-        for batch in batches:
-            batch = batch.sort_by("dim")
-            dims = batch.column("dim").to_numpy()
-            cuts = np.flatnonzero(np.diff(dims, prepend=-1, append=-1))
-            for lo, hi in zip(cuts, cuts[1:]):
-                dim = int(dims[lo])
-                if dim not in known:
-                    known = {dim: _directions(seed, dim, passes)}
-                signs = _rows(batch.column("v"), lo, hi) @ known[dim] >= 0
-                keys = signs.reshape(hi - lo, passes, _BITS) @ places
-                part = batch.slice(lo, hi - lo).select(["cls", "lab"])
-                many = part.take(pa.array(np.repeat(np.arange(hi - lo), passes)))
-                yield pa.RecordBatch.from_arrays(
-                    [*many.columns, pa.array(np.full(len(many), dim, np.int32)),
-                     pa.array(np.tile(np.arange(passes, dtype=np.int32), hi - lo)), pa.array(keys.ravel())],
-                    names=["cls", "lab", "dim", "pass", "sign"],
-                )
+        for part, x in _by_length(batches):
+            n, dim = x.shape
+            if dim not in known:
+                known = {dim: _directions(seed, dim, passes)}
+            keys = (x @ known[dim] >= 0).reshape(n, passes, _BITS) @ places
+            many = part.select(["cls", "lab", "dim"]).take(pa.array(np.repeat(np.arange(n), passes)))
+            number = np.tile(np.arange(passes, dtype=np.int32), n)
+            yield pa.RecordBatch.from_arrays(
+                [*many.columns, pa.array(number), pa.array(keys.ravel())],
+                names=["cls", "lab", "dim", "pass", "sign"],
+            )
 
     return run
 
@@ -216,29 +210,34 @@ def _found_links(vectors: DataFrame, threshold: float, window: int, recall: floa
     )
 
 
-def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distance of each unit vector to the middle of its component."""
+def _by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows with equally long vectors, and those vectors at length 1."""
     for batch in batches:
         batch = batch.sort_by("dim")
         dims = batch.column("dim").to_numpy()
         cuts = np.flatnonzero(np.diff(dims, prepend=-1, append=-1))
         for lo, hi in zip(cuts, cuts[1:]):
-            x = _rows(batch.column("v"), lo, hi)
-            middle = batch.column("middle").slice(lo, hi - lo).flatten().to_numpy().reshape(hi - lo, -1)
-            far = np.linalg.norm(x - middle, axis=1)
-            part = batch.slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in ("cls", "component", "w")] + [pa.array(far)],
-                names=["cls", "component", "w", "far"],
-            )
+            yield batch.slice(lo, hi - lo), _rows(batch.column("v"), lo, hi)
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members with unit vectors in place of theirs."""
+    for part, x in _by_length(batches):
+        cuts = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
+        unit = pa.ListArray.from_arrays(cuts, pa.array(x.ravel()))
+        names = ["cls", "component", "w", "dim"]
+        yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [unit], names=[*names, "v"])
 
 
-def _unit(vector):
-    """The vector at length 1; its largest component is taken out first."""
-    top = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))
-    scaled = F.transform(vector, lambda x: x.cast("double") / top)
-    size = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(scaled, lambda x: x / size)
+def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distance of each unit vector to the middle of its component."""
+    for part, x in _by_length(batches):
+        middle = part.column("middle").flatten().to_numpy().reshape(x.shape)
+        names = ["cls", "component", "w"]
+        yield pa.RecordBatch.from_arrays(
+            [part.column(c) for c in names] + [pa.array(np.linalg.norm(x - middle, axis=1))],
+            names=[*names, "far"],
+        )
 
 
 def _tile_counts(threshold: float):
@@ -251,9 +250,7 @@ def _tile_counts(threshold: float):
                 for s in ("a", "b"):
                     cls, w = (batch.column(f"{c}_{s}")[i].values.to_numpy() for c in ("cls", "w"))
                     x = batch.column(f"v_{s}")[i].values.flatten()
-                    x = x.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(cls), -1)
-                    x = x / np.abs(x).max(axis=1, keepdims=True)
-                    side[s] = cls, w, x / np.linalg.norm(x, axis=1, keepdims=True)
+                    side[s] = cls, w, x.to_numpy().reshape(len(cls), -1)
                 (cls_a, w_a, a), (cls_b, w_b, b) = side["a"], side["b"]
                 linked = a @ b.T >= threshold
                 cls, n = cls_a, linked @ w_b
@@ -268,11 +265,12 @@ def _count_links(vectors: DataFrame, groups: DataFrame, threshold: float) -> Dat
     """(cls, component, n): the weight linked to each class of a component, its own included."""
     members = materialize(
         vectors.join(groups.withColumnRenamed("node", "cls"), "cls")
-        .select("cls", "component", "w", "dim", "v"),
+        .select("cls", "component", "w", "dim", "v")
+        .mapInArrow(_units, "cls long, component long, w long, dim int, v array<double>"),
         "vector-groups",
     )
     middle = (
-        members.select("component", F.posexplode(_unit(F.col("v"))).alias("i", "x"))
+        members.select("component", F.posexplode("v").alias("i", "x"))
         .groupBy("component", "i").agg(F.avg("x").alias("x"))
         .groupBy("component").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("m"))
         .select("component", F.transform("m", lambda s: s["x"]).alias("middle"))
