@@ -48,11 +48,15 @@ def flights_by_month(flights: DataFrame) -> DataFrame:
     return flights.groupBy("Year", "Month").agg(F.count(F.lit(1)).alias("total_flights"))
 
 
+def fleet_documents(pairs: DataFrame, limit: int = DOCUMENT_ITEMS) -> DataFrame:
+    """Tail numbers of every carrier as sorted arrays, from stored distinct (Carrier, TailNum)."""
+    return hotkeys.nest(pairs, ["Carrier"], ["TailNum"], "TailNumbers", "FleetCount", limit)
+
+
 def airplanes_per_carrier(flights: DataFrame, limit: int = DOCUMENT_ITEMS) -> DataFrame:
     """Distinct tail numbers of every carrier as sorted arrays, with the fleet size."""
     pairs = flights.select("Carrier", "TailNum").where(F.col("TailNum").isNotNull()).distinct()
-    pairs = materialize(pairs, "fleet-pairs")
-    return hotkeys.nest(pairs, ["Carrier"], ["TailNum"], "TailNumbers", "FleetCount", limit)
+    return fleet_documents(materialize(pairs, "fleet-pairs"), limit)
 
 
 def flights_per_airplane(flights: DataFrame, limit: int = DOCUMENT_ITEMS) -> DataFrame:
@@ -65,25 +69,71 @@ def manufacturer_totals(airplanes: DataFrame) -> DataFrame:
     return airplanes.groupBy("Manufacturer").agg(F.count(F.lit(1)).alias("Total"))
 
 
+def _bin(column: str, width: int) -> Column:
+    return (F.floor(F.col(column) / width) * width).cast("int")
+
+
 def delay_histogram(flights: DataFrame, width: int = 15, column: str = "ArrDelay") -> DataFrame:
     """Flights per delay bin of ``width`` minutes, labelled by the bin's lower bound."""
-    bin_start = (F.floor(F.col(column) / width) * width).cast("int")
     return (
         flights.where(F.col(column).isNotNull())
-        .groupBy(bin_start.alias("label")).agg(F.count(F.lit(1)).alias("value"))
+        .groupBy(_bin(column, width).alias("label")).agg(F.count(F.lit(1)).alias("value"))
     )
 
 
+def _labelled(counts: DataFrame) -> DataFrame:
+    return counts.select(text.delay_label(F.col("klass")).alias("label"), "value")
+
+
 def delay_class_counts(flights: DataFrame, column: str = "ArrDelay") -> DataFrame:
     """Flights per delay class, with the class's display text."""
     klass = text.delay_class(F.col(column))
-    return (
+    return _labelled(
         flights.where(F.col(column).isNotNull())
         .groupBy(klass.alias("klass")).agg(F.count(F.lit(1)).alias("value"))
-        .select(text.delay_label(F.col("klass")).alias("label"), "value")
     )
 
 
+class FlightRollup:
+    """Four views of flights from one scan, by grouping sets that are counted together.
+
+    Every task reduces its rows to one per month, per airplane of a carrier, and per delay bin
+    and class, before anything is shuffled. Bins lie within classes or are counted per class, so
+    the classes are sums of the histogram's rows.
+    """
+
+    def __init__(self, flights: DataFrame, width: int = 15, column: str = "ArrDelay"):
+        names = ["Year", "Month", "Carrier", "TailNum", "label", "klass"]
+        rows = flights.select(
+            *names[:4], _bin(column, width).alias("label"), text.delay_class(F.col(column)).alias("klass")
+        )
+        sets = [names[:2], names[2:4], names[4:]]
+        counted = rows.groupingSets([[F.col(c) for c in s] for s in sets], *names).agg(
+            F.count(F.lit(1)).alias("n"), F.grouping_id().alias("of")
+        )
+        self._counts = materialize(counted, "flight-rollup")
+        # A column that a set does not group by is a one in its number, the first one highest.
+        self._of = [int("".join("01"[c not in s] for c in names), 2) for s in sets]
+
+    def _set(self, number: int) -> DataFrame:
+        return self._counts.where(F.col("of") == self._of[number])
+
+    def flights_by_month(self) -> DataFrame:
+        return self._set(0).select("Year", "Month", F.col("n").alias("total_flights"))
+
+    def airplanes_per_carrier(self, limit: int = DOCUMENT_ITEMS) -> DataFrame:
+        pairs = self._set(1).where(F.col("TailNum").isNotNull()).select("Carrier", "TailNum")
+        return fleet_documents(pairs, limit)
+
+    def delay_histogram(self) -> DataFrame:
+        known = self._set(2).where(F.col("label").isNotNull())
+        return known.groupBy("label").agg(F.sum("n").alias("value"))
+
+    def delay_class_counts(self) -> DataFrame:
+        known = self._set(2).where(F.col("klass").isNotNull())
+        return _labelled(known.groupBy("klass").agg(F.sum("n").alias("value")))
+
+
 def classification_accuracy(scored: DataFrame, prediction: Column, label: Column) -> DataFrame:
     """Share of rows whose prediction equals their label."""
     return scored.agg(F.avg((prediction == label).cast("double")).alias("accuracy"))

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylab import schemas
 from delaylab.functions import clock, text
 
-#: Columns that hold intermediate results of the model.
+# Columns that hold intermediate results of the model.
 ML_COLUMNS = [
     "Features_vec", "rawPrediction", "probability", "indices", "values",
     "Carrier_index", "Origin_index", "Dest_index", "Route_index",
 ]
 
-#: Sort order of the feature table.
+# Sort order of the feature table.
 FEATURE_ORDER = [
     "DayOfYear", "Carrier", "Origin", "Dest", "FlightNum", "CRSDepTime", "CRSArrTime",
 ]
@@ -42,9 +42,21 @@ def sample_share(df: DataFrame, share: float, seed: int) -> DataFrame:
     return df.sample(withReplacement=False, fraction=share, seed=seed)
 
 
-def sample_by_key(df: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """Sample decided by the row's own key, the same on every run and cluster."""
-    return df.where(F.pmod(F.xxhash64(*keys), F.lit(100)) < percent)
+def in_sample(keys: list[str], percent: float) -> Column:
+    """Whether the MD5 of a row's key begins below ``percent`` of all; nulls count as absent.
+
+    Any engine with MD5 draws the same rows, at every run and on every cluster.
+    """
+    if percent >= 100:
+        return F.lit(True)
+    bound = f"{round(percent * 0x100000000 / 100):08x}"
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return F.substring(F.md5(text.cast("binary")), 1, 8) < bound
+
+
+def sample_by_key(df: DataFrame, keys: list[str], percent: float) -> DataFrame:
+    """Sample decided by the row's own key."""
+    return df.where(in_sample(keys, percent))
 
 
 def typed_features(df: DataFrame) -> DataFrame:

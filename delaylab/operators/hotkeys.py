@@ -23,6 +23,7 @@ _SEAT = "_seat"
 _SLICE = "_slice"
 _FIRST = "_first"
 _BEFORE = "_before"
+_PLACE = "_place"
 _ROW_BITS = 33  # monotonically_increasing_id(): partition above, row number below
 
 
@@ -136,21 +137,22 @@ def nest(
     )
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last version of every key.
+def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of every key in ``order``.
 
-    ``max_by`` combines on the map side, so copies of one key shrink before the shuffle.
+    Each task keeps one row of a key before the shuffle (a group limit below the window), so
+    copies of a hot key do not travel, and rows are compared column by column, never packed.
     """
-    payload = F.struct(*[c for c in df.columns if c not in keys])
-    picked = F.max_by(payload, F.struct(*order)).alias("_last")
-    return df.groupBy(*keys).agg(picked).select(*keys, "_last.*").select(*df.columns)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(_PLACE, place).where(F.col(_PLACE) == 1).drop(_PLACE)
+
+
+def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last version of every key."""
+    return _one_per_key(df, keys, [F.col(c).desc() for c in order])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of every key; ties on ``order`` fall to the remaining columns."""
-    rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(*order, *[c for c in rest if c not in order])
-    return (
-        df.groupBy(*keys).agg(F.min(ranked).alias("_first"))
-        .select(*keys, "_first.*").select(*df.columns)
-    )
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    return _one_per_key(df, keys, [F.col(c) for c in [*order, *rest]])

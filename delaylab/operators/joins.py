@@ -61,8 +61,9 @@ def lookup_flights(keys: DataFrame, flights: DataFrame, few: int = LOOKUP_KEYS)
     """First flight of each requested (Carrier, FlightDate, FlightNum); many lookups, one job.
 
     Up to ``few`` distinct keys select their flights first, so that little is left to reduce.
-    With more keys all flights are reduced first, by a partial aggregate before the shuffle:
-    neither repeated keys nor repeated flights pile up in one task.
+    With more keys all flights are reduced first, to one of a key and task before the shuffle:
+    neither repeated keys nor repeated flights pile up in one task. Both ways give the same rows;
+    ``few`` decides the cost alone.
     """
     names = ["Carrier", "FlightDate", "FlightNum"]
     order = ["DepTime", "ArrTime", "Origin", "Dest", "TailNum"]

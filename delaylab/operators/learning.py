@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Bucketizer, FeatureHasher, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, FeatureHasher, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylab.functions.text import DELAY_SPLITS
-from delaylab.operators.features import derive_route, strip_ml_columns
+from delaylab.operators import dictionaries
+from delaylab.operators.features import derive_route, in_sample, sample_by_key, strip_ml_columns
+from delaylab.sources import versions
 
 # The inputs of the classifier in the order of the feature vector.
 NUMERIC = ["DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "DayOfYear"]
@@ -24,9 +26,11 @@ LABEL = "ArrDelayBucket"
 VECTOR = "Features_vec"
 PREDICTION = "Prediction"
 
-#: Distinct values (an estimate) above which fitting a dictionary is refused: the dictionary
-#: lives on the driver and its size is the forest's number of bins.
+#: Distinct values above which a dictionary is refused as part of a model: it would live on the
+#: driver, and its size is the forest's number of bins.
 DICTIONARY_LIMIT = 20_000
+#: Partitions that the training rows are dealt to, for each file of the feature table.
+PARTITIONS_PER_FILE = 4
 #: Slots of the categories that ``encoding`` names as hashed.
 HASHED_WIDTH = 1 << 12
 
@@ -37,6 +41,8 @@ RUNS = T.StructType([
     T.StructField("num_trees", T.IntegerType()),
     T.StructField("train_rows", T.LongType()),
     T.StructField("accuracy", T.DoubleType()),
+    T.StructField("hashed", T.StringType()),
+    T.StructField("partitions", T.IntegerType()),
 ])
 
 
@@ -63,35 +69,37 @@ def bucketize_delay(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Profile:
-    """What training needs to know about the feature table."""
+    """Rows of the feature table and its columns that hold nulls."""
 
     rows: int
     nulls: dict[str, int]
-    distinct: dict[str, int]
 
 
 def profile_training(features: DataFrame) -> Profile:
-    """Rows, nulls of every column and distinct values of every category, in one pass."""
-    routed = derive_route(features)
-    row = routed.agg(
+    """Rows and nulls of every column, in one pass."""
+    row = features.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in features.columns],
-        *[F.approx_count_distinct(c, 0.02).alias(f"distinct_{c}") for c in CATEGORIES],
     ).first().asDict()
-    nulls = {c: row[f"null_{c}"] for c in features.columns if row[f"null_{c}"]}
-    return Profile(row["rows"], nulls, {c: row[f"distinct_{c}"] for c in CATEGORIES})
+    return Profile(row["rows"], {c: row[f"null_{c}"] for c in features.columns if row[f"null_{c}"]})
 
 
-def fit_indexer(df: DataFrame, categories: list[str] = CATEGORIES):
-    """Dictionaries of all categories from one pass; unseen values get an index of their own."""
-    return StringIndexer(
-        inputCols=categories, outputCols=[f"{c}_index" for c in categories],
-        handleInvalid="keep", stringOrderType="frequencyDesc",
-    ).fit(df)
+def category_dictionary(features: DataFrame) -> DataFrame:
+    """The stored dictionary of all categories of a feature table."""
+    return dictionaries.build(derive_route(features).select(*CATEGORIES), CATEGORIES)
 
 
-def index_features(df: DataFrame, indexer) -> DataFrame:
-    return indexer.transform(derive_route(df))
+def fit_indexers(
+    df: DataFrame, categories: list[str] = CATEGORIES, limit: int = DICTIONARY_LIMIT
+) -> list[StringIndexerModel]:
+    """A dictionary model per category, from one pass; unseen values get an index of their own."""
+    table = dictionaries.build(df.select(*categories), categories)
+    return dictionaries.indexers(table, categories, limit)
+
+
+def index_features(df: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Route and category indexes by joins with a stored dictionary, which may have any size."""
+    return dictionaries.encode(derive_route(df), dictionary, CATEGORIES)
 
 
 def assembler(inputs: list[str] | None = None) -> VectorAssembler:
@@ -108,7 +116,7 @@ def vector_slots(df: DataFrame, size: int) -> DataFrame:
 
 
 def encoders(
-    features: DataFrame, distinct: dict[str, int], encoding: dict[str, str] | None = None,
+    features: DataFrame, encoding: dict[str, str] | None = None,
     limit: int = DICTIONARY_LIMIT, width: int = HASHED_WIDTH,
 ) -> tuple[list[Transformer], list[str], int]:
     """Fitted category encoders, the columns they give, and the size of the largest dictionary.
@@ -116,17 +124,13 @@ def encoders(
     ``encoding`` gives "dictionary" (the default) or "hashed" per category. The data never
     choose: a dictionary that would be too large is an error.
     """
-    encoding = encoding or {}
-    hashed = [c for c in CATEGORIES if encoding.get(c) == "hashed"]
+    hashed = hashed_categories(encoding)
     indexed = [c for c in CATEGORIES if c not in hashed]
-    for c in indexed:
-        if distinct[c] > limit:
-            raise ValueError(f"{c} has about {distinct[c]} values, over {limit}: encode it as \"hashed\"")
     stages, outputs, largest = [], [], 0
     if indexed:
-        indexer = fit_indexer(features, indexed)
-        largest = max(len(labels) for labels in indexer.labelsArray)
-        stages.append(indexer)
+        fitted = fit_indexers(features, indexed, limit)
+        largest = max(len(model.labels) for model in fitted)
+        stages += fitted
         outputs += [f"{c}_index" for c in indexed]
     if hashed:
         stages.append(
@@ -136,29 +140,44 @@ def encoders(
     return stages, outputs, largest
 
 
+def hashed_categories(encoding: dict[str, str] | None) -> list[str]:
+    """Categories that ``encoding`` names as hashed."""
+    encoding = encoding or {}
+    wrong = {c: e for c, e in encoding.items() if c not in CATEGORIES or e not in ("dictionary", "hashed")}
+    if wrong:
+        raise ValueError(f"no such encoding: {wrong}")
+    return [c for c in CATEGORIES if encoding.get(c) == "hashed"]
+
+
+def default_partitions(features: DataFrame) -> int:
+    """Partitions by the files of the feature table, whatever executors there are."""
+    return max(1, len(features.inputFiles())) * PARTITIONS_PER_FILE
+
+
 def train(
     features: DataFrame,
     settings: ForestSettings = ForestSettings(),
-    profile: Profile | None = None,
     encoding: dict[str, str] | None = None,
     dictionary_limit: int = DICTIONARY_LIMIT,
     partitions: int | None = None,
 ) -> PipelineModel:
     """Fit dictionaries, assembler and forest as one model from route to prediction.
 
-    ``features`` should be a stored table: the forest scans it a few times before it caches
-    its own compact form of the rows. The forest's samples follow the partitions;
-    ``partitions`` deals the rows out by their content, so that a fit does not depend on how
-    the table is split into files nor on the cores at hand.
+    ``features`` should be a stored table. Its encoded rows are dealt once to ``partitions``
+    (see :func:`default_partitions`) and sorted there, both by their content; the forest draws its
+    samples by partition and place, so a fit depends neither on the order of the rows nor on the
+    cores at hand. Its passes before it caches the rows read that one shuffle.
     """
-    profile = profile or profile_training(features)
     labelled = bucketize_delay(derive_route(features))
-    stages, encoded, largest = encoders(labelled, profile.distinct, encoding, dictionary_limit)
+    stages, encoded, largest = encoders(labelled, encoding, dictionary_limit)
     vectors = assembler(NUMERIC + encoded)
     encode = PipelineModel([*stages, vectors])
-    if partitions is not None:
-        labelled = labelled.repartition(partitions, F.xxhash64(*sorted(labelled.columns)))
-    ready = encode.transform(labelled).select(VECTOR, LABEL)
+    dealt = labelled.withColumn("_dealt", F.xxhash64(*sorted(labelled.columns)))
+    ready = (
+        encode.transform(dealt).select(VECTOR, LABEL, "_dealt")
+        .repartition(partitions or default_partitions(features), "_dealt")
+        .sortWithinPartitions("_dealt")
+    )
     forest = RandomForestClassifier(
         featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION,
         numTrees=settings.trees, maxDepth=settings.depth, seed=settings.seed,
@@ -181,17 +200,26 @@ def naive_score(requests: DataFrame) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    """Replace the stored model and, next to it, the labeller."""
-    model.write().overwrite().save(f"{path}/scorer")
-    labeller().write().overwrite().save(f"{path}/labeller")
+    """Publish the model as the current version at ``path`` and, next to it, the labeller."""
+
+    def write(folder: str) -> None:
+        model.save(f"{folder}/scorer")
+        labeller().save(f"{folder}/labeller")
+
+    versions.publish(SparkSession.active(), path, write)
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(f"{path}/scorer")
+    """The current version of a model."""
+    return load_version(versions.current(SparkSession.active(), path))
+
+
+def load_version(folder: str) -> PipelineModel:
+    return PipelineModel.load(f"{folder}/scorer")
 
 
 def load_labeller(path: str) -> Bucketizer:
-    return Bucketizer.load(f"{path}/labeller")
+    return Bucketizer.load(f"{versions.current(SparkSession.active(), path)}/labeller")
 
 
 def accuracy(scored: DataFrame) -> float:
@@ -200,10 +228,23 @@ def accuracy(scored: DataFrame) -> float:
     ).evaluate(scored)
 
 
-def preview(scored: DataFrame, share: float = 0.001, seed: int = 18, rows: int = 6) -> DataFrame:
-    """A few scored rows, sampled and in departure order."""
-    sample = scored.sample(withReplacement=False, fraction=share, seed=seed)
-    return sample.orderBy("CRSDepTime").limit(rows)
+#: What tells flights apart, as text in every store.
+FLIGHT_KEY = ["FlightDate", "Carrier", "FlightNum", "Origin", "Dest", "CRSDepTime"]
+
+
+def preview(scored: DataFrame, percent: float = 0.1, rows: int = 6) -> DataFrame:
+    """A few scored rows, sampled by their key and in departure order; later columns break ties."""
+    rest = [c for c in FLIGHT_KEY + scored.columns if c != "CRSDepTime"]
+    sample = sample_by_key(scored, FLIGHT_KEY, percent)
+    return sample.orderBy("CRSDepTime", *dict.fromkeys(rest)).limit(rows)
+
+
+def beats_majority(labelled: DataFrame) -> bool:
+    """Whether more rows are predicted right than the most frequent class has."""
+    counts = labelled.groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(PREDICTION) == F.col(LABEL)).alias("right")
+    )
+    return bool(counts.agg(F.sum("right") > F.max("n")).first()[0])
 
 
 def evaluate_in_sample(features: DataFrame, model: PipelineModel) -> float:
@@ -211,27 +252,37 @@ def evaluate_in_sample(features: DataFrame, model: PipelineModel) -> float:
     return accuracy(bucketize_delay(score(features, model)))
 
 
-def split_by_hash(features: DataFrame, percent: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Training and held-out rows, decided by each row's content."""
-    bucket = F.pmod(F.xxhash64(*sorted(features.columns)), F.lit(100))
-    return features.where(bucket >= percent), features.where(bucket < percent)
+def split_by_hash(features: DataFrame, percent: float = 20) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out rows, decided by each flight's key."""
+    held = in_sample(FLIGHT_KEY, percent)
+    return features.where(~held), features.where(held)
+
+
+def score_holdout(
+    features: DataFrame, settings: ForestSettings = ForestSettings(), percent: float = 20
+) -> DataFrame:
+    """Labelled and scored rows that the model has not seen."""
+    seen, unseen = split_by_hash(features, percent)
+    return bucketize_delay(score(unseen, train(seen, settings)))
 
 
 def evaluate_holdout(
-    features: DataFrame, settings: ForestSettings = ForestSettings(), percent: int = 20
+    features: DataFrame, settings: ForestSettings = ForestSettings(), percent: float = 20
 ) -> float:
     """Accuracy on rows the model has not seen."""
-    seen, unseen = split_by_hash(features, percent)
-    return accuracy(bucketize_delay(score(unseen, train(seen, settings))))
+    return accuracy(score_holdout(features, settings, percent))
 
 
-def log_run(spark: SparkSession, path: str, model: PipelineModel, rows: int, value: float) -> None:
+def log_run(
+    spark: SparkSession, path: str, model: PipelineModel, rows: int, value: float,
+    encoding: dict[str, str] | None = None, partitions: int | None = None,
+) -> None:
     """Append the parameters and the accuracy of a training run to the run table."""
     forest = model.stages[-1]
     run = spark.createDataFrame(
         [(
             None, forest.getOrDefault("maxBins"), forest.getOrDefault("maxMemoryInMB"),
-            forest.getNumTrees, rows, value,
+            forest.getNumTrees, rows, value, ",".join(hashed_categories(encoding)), partitions,
         )],
         RUNS,
     ).withColumn("run_at", F.current_timestamp())

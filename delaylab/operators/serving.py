@@ -147,6 +147,11 @@ def carrier_list(fleet: DataFrame) -> DataFrame:
     return fleet.where(F.col("Part") == 0).select("Carrier")
 
 
+def carriers(flights: DataFrame) -> DataFrame:
+    """Carriers that have a fleet, without building it."""
+    return flights.where(F.col("TailNum").isNotNull()).select("Carrier").distinct()
+
+
 def monthly_listing(totals: DataFrame) -> DataFrame:
     """Monthly totals in calendar order. The window runs over as many rows as there are months."""
     place = F.row_number().over(Window.orderBy("Year", "Month"))
@@ -155,4 +160,6 @@ def monthly_listing(totals: DataFrame) -> DataFrame:
 
 def ranked_manufacturers(totals: DataFrame, limit: int = hotkeys.GROUP_ROWS) -> DataFrame:
     """Manufacturer totals with their place by falling count."""
-    return hotkeys.number_rows(totals, [], [F.col("Total").desc(), F.col("Manufacturer")])
+    return hotkeys.number_rows(
+        totals, [], [F.col("Total").desc(), F.col("Manufacturer")], limit=limit
+    )

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylab import schemas
 from delaylab.functions import clock, coerce, messages, text
-from delaylab.operators import aggregates, features, hotkeys, joins, learning, serving
+from delaylab.operators import aggregates, features, hotkeys, joins, learning, pages, serving
 from delaylab.plans import jobs, oracle
 from delaylab.plans.registry import (
-    fleet_text, flights_text, prepared_requests, query, stored_distances, stored_features,
+    fleet_text, flights_text, prepared_requests, query, scorer, stored_distances, stored_features,
 )
 from delaylab.session import new_dir
 from delaylab.sources import readers, testbed, writers
@@ -74,13 +76,8 @@ def scan_results_jsonl(spark, sf_dir):
     return readers.read_results(spark, path)
 
 
-@query(
-    "ingest_distances",
-    """SELECT Origin AS origin, Dest AS dest, Distance AS distance FROM distances
-UNION ALL SELECT '' AS origin, Dest AS dest, 0.0 AS distance FROM (SELECT DISTINCT Dest FROM distances)""",
-    ["distances"],
-)
-def ingest_distances(spark, sf_dir):
+def distance_lines(spark, sf_dir, path: str) -> list[str]:
+    """Stale lines, then current ones among blank lines, lines that are no JSON and odd distances."""
     distances = stored_distances(spark, sf_dir)
     stale = distances.select(F.to_json(F.struct(
         F.col("Origin").alias("origin"), F.col("Dest").alias("dest"),
@@ -88,22 +85,78 @@ def ingest_distances(spark, sf_dir):
     )).alias("value"))
     current = distances.select(F.explode(F.array(
         F.lit(""), F.to_json(F.struct("Origin", "Dest", "Distance")),
+        F.concat(F.lit("not json "), "Origin"),
+    )).alias("value"))
+    ends = distances.select("Dest").distinct()
+    bare = ends.select(F.to_json(F.struct("Dest")).alias("value"))
+    odd = ends.select(F.to_json(F.struct(
+        F.lit("far").alias("Origin"), "Dest", F.lit("a mile").alias("Distance")
     )).alias("value"))
-    bare = distances.select("Dest").distinct().select(F.to_json(F.struct("Dest")).alias("value"))
-    path = new_dir(spark, "distance-lines")
     stale.write.text(f"{path}/1-stale")
-    current.unionByName(bare).write.text(f"{path}/2-current")
-    return readers.ingest_distances(spark, [f"{path}/1-stale", f"{path}/2-current"])
+    current.unionByName(bare).unionByName(odd).write.text(f"{path}/2-current")
+    return [f"{path}/1-stale", f"{path}/2-current"]
 
 
-@query("ingest_flights_csv", f"SELECT {FLIGHTS} FROM flights", ["flights"])
+@query(
+    "ingest_distances",
+    """SELECT Origin AS origin, Dest AS dest, Distance AS distance FROM distances
+UNION ALL SELECT '' AS origin, Dest AS dest, 0.0 AS distance FROM (SELECT DISTINCT Dest FROM distances)
+UNION ALL SELECT 'far', Dest, NULL FROM (SELECT DISTINCT Dest FROM distances)""",
+    ["distances"],
+)
+def ingest_distances(spark, sf_dir):
+    path = new_dir(spark, "distance-lines")
+    return readers.ingest_distances(spark, distance_lines(spark, sf_dir, path))
+
+
+def flight_files(spark, sf_dir, path: str) -> None:
+    """CSV files of two layouts; one is turned round, has a further column and odd distances."""
+    flights = testbed.flights(spark, sf_dir)
+    one = F.col("Carrier") == "AA"
+    writers.write_flights_csv(flights.where(~one), f"{path}/plain")
+    distance = F.when(F.col("FlightNum").cast("int") < 100, "far").otherwise(F.col("Distance").cast("string"))
+    turned = flights.where(one).withColumns({"Distance": distance, "Remark": F.lit("x,\"y\"")})
+    writers.write_flights_csv(turned.select(*reversed(turned.columns)), f"{path}/turned")
+
+
+@query(
+    "ingest_flights_csv",
+    f"""SELECT {FLIGHTS.replace("Distance", "CASE WHEN Carrier = 'AA' AND CAST(FlightNum AS INT) < 100 THEN NULL ELSE Distance END AS Distance")}
+FROM flights""",
+    ["flights"],
+)
 def ingest_flights_csv(spark, sf_dir):
+    """Files of different headers in one directory, landed together."""
     path = new_dir(spark, "flights")
-    writers.write_flights_csv(testbed.flights(spark, sf_dir), f"{path}/csv")
-    writers.land_flights(readers.read_flight_files(spark, f"{path}/csv"), f"{path}/lake")
+    flight_files(spark, sf_dir, f"{path}/csv")
+    jobs.land_flights(spark, f"{path}/csv/*", f"{path}/lake")
     return readers.read_flights(spark, f"{path}/lake")
 
 
+@query(
+    "landing_counts",
+    """SELECT 'flights' AS source, 'rows' AS what, count(*) AS n FROM flights
+UNION ALL SELECT 'flights', 'failed_casts', count(*) FROM flights WHERE Carrier = 'AA' AND CAST(FlightNum AS INT) < 100
+UNION ALL SELECT 'distances', 'records', 2 * count(*) + 2 * count(DISTINCT Dest) FROM distances
+UNION ALL SELECT 'distances', 'blank', count(*) FROM distances
+UNION ALL SELECT 'distances', 'rejected', count(*) FROM distances
+UNION ALL SELECT 'distances', 'failed_casts', count(DISTINCT Dest) FROM distances""",
+    ["distances"],
+)
+def landing_counts(spark, sf_dir):
+    """What landing took and rejected, counted in the pass that lands it."""
+    path = new_dir(spark, "landing")
+    flight_files(spark, sf_dir, f"{path}/csv")
+    counts = {
+        "flights": jobs.land_flights(spark, f"{path}/csv/*", f"{path}/lake"),
+        "distances": jobs.land_distances(
+            spark, distance_lines(spark, sf_dir, path), f"{path}/distances"
+        ),
+    }
+    rows = [(source, what, n) for source, own in counts.items() for what, n in own.items()]
+    return spark.createDataFrame(rows, "source string, what string, n long")
+
+
 # Sinks
 
 @query("write_features", f"SELECT {FEATURES} FROM features", ["features"])
@@ -113,19 +166,24 @@ def write_features(spark, sf_dir):
     return readers.read_features(spark, path)
 
 
+EMPTIED = "2024-01-16"
+
+
 @query(
     "write_daily_partition",
     f"""SELECT UUID, Timestamp, CAST(CAST(Timestamp AS DATE) AS VARCHAR) AS request_date,
   CASE WHEN CAST(Timestamp AS DATE) = DATE '{DAY}' THEN DepDelay ELSE DepDelay - 1 END AS DepDelay
-FROM requests""",
+FROM requests WHERE CAST(Timestamp AS DATE) <> DATE '{EMPTIED}'""",
     ["requests"],
 )
 def write_daily_partition(spark, sf_dir):
-    """All days are stored, then one of them is replaced; the others must not change."""
+    """All days are stored, one is replaced and one emptied; the others must not change."""
     path = new_dir(spark, "daily")
     requests = testbed.requests(spark, sf_dir).select("UUID", "Timestamp", "DepDelay")
     writers.write_daily(requests.withColumn("DepDelay", F.col("DepDelay") - 1), path)
     writers.write_daily(readers.requests_in_window(requests, DAY), path)
+    none = readers.requests_in_window(requests, EMPTIED).where(F.col("UUID").isNull())
+    writers.write_daily(none, path, day=EMPTIED)
     return spark.read.parquet(path)
 
 
@@ -182,13 +240,16 @@ def flatten_request(spark, sf_dir):
     return features.flatten(nested, "flight")
 
 
-@query("strip_ml_columns", f"SELECT {RESULT} FROM scored", ["scored"])
+@query(
+    "strip_ml_columns",
+    f"SELECT {REQUEST}, Route, 1 AS classified FROM scored", ["scored"],
+)
 def strip_ml_columns(spark, sf_dir):
-    vectors = learning.assembler(learning.NUMERIC).transform(naive_results(spark, sf_dir))
-    noisy = vectors.withColumns({
-        name: F.lit(0.0) for name in features.ML_COLUMNS if name != learning.VECTOR
-    })
-    return features.strip_ml_columns(noisy)
+    """All that the stored model adds to a request, without its intermediate columns."""
+    routed = features.derive_route(prepared_requests(spark, sf_dir))
+    stripped = features.strip_ml_columns(scorer(spark, sf_dir).transform(routed))
+    classified = F.col("Prediction").isin(0, 1, 2, 3)
+    return stripped.withColumn("classified", classified).drop("Prediction")
 
 
 @query(
@@ -304,8 +365,7 @@ def airplane_flights(spark, sf_dir):
 
 @query("carrier_list", "SELECT DISTINCT Carrier FROM flights", ["flights"])
 def carrier_list(spark, sf_dir):
-    fleet = aggregates.airplanes_per_carrier(testbed.flights(spark, sf_dir, "Carrier", "TailNum"))
-    return serving.carrier_list(fleet)
+    return serving.carriers(testbed.flights(spark, sf_dir, "Carrier", "TailNum"))
 
 
 # Joins
@@ -547,11 +607,38 @@ def paginate(spark, sf_dir):
     return listed.select("*", *links)
 
 
-@query("sample_features")
+DEEP, DEEP_BLOCK = 5000, 1000
+
+
+@query(
+    "paginate_deep",
+    f"""SELECT {FLIGHTS}, n AS rank, total FROM (SELECT *, row_number() OVER (ORDER BY FlightDate,
+    DepTime, Carrier, FlightNum, Year, Month, DayofMonth, DayOfWeek, TailNum, Origin, Dest, Distance,
+    DepDelay, ArrDelay, CRSDepTime, CRSArrTime, ArrTime, AirTime) AS n, count(*) OVER () AS total
+  FROM flights) WHERE n > {DEEP} AND n <= {DEEP} + 15""",
+    ["flights"],
+)
+def paginate_deep(spark, sf_dir):
+    """A page far down the listing of all flights, from the block that it lies in."""
+    path = new_dir(spark, "listing")
+    flights = testbed.flights(spark, sf_dir)
+    pages.store_listing(flights, serving.FLIGHT_SORT, path, DEEP_BLOCK)
+    return pages.read_page(spark, path, DEEP, serving.FLIGHTS_PER_PAGE)
+
+
+@query(
+    "sample_features",
+    f"""SELECT FlightNum, FlightDate, DayOfWeek, DayofMonth AS DayOfMonth,
+  CAST(Month AS VARCHAR) || '-' || CAST(DayofMonth AS VARCHAR) AS DayOfYear, Carrier, Origin, Dest,
+  Distance, DepDelay, ArrDelay, CRSDepTime, CRSArrTime FROM flights
+WHERE ArrDelay IS NOT NULL AND DepDelay IS NOT NULL
+  AND substr(md5(concat_ws('|', {", ".join(learning.FLIGHT_KEY)})), 1, 8) < '{round(0.1 * 0x100000000):08x}'""",
+    ["flights"],
+)
 def sample_features(spark, sf_dir):
-    """A tenth of the flights, as the feature job may take them."""
+    """A tenth of the flights, as the feature job may take them, drawn by their key."""
     projected = features.project_features(testbed.flights(spark, sf_dir))
-    return features.filter_complete(features.sample_share(projected, 0.1, 27))
+    return features.filter_complete(features.sample_by_key(projected, learning.FLIGHT_KEY, 10))
 
 
 @query("distinct_routes", "SELECT DISTINCT Origin, Dest FROM flights", ["flights"])
@@ -663,6 +750,26 @@ def request_message(spark, sf_dir):
     return sent.select(*fields)
 
 
+@query(
+    "stamp_requests",
+    """SELECT d[1:8] || '-' || d[9:12] || '-3' || d[14:16] || '-'
+  || substr('89ab', CAST((strpos('0123456789abcdef', d[17:17]) - 1) % 4 + 1 AS INT), 1)
+  || d[18:20] || '-' || d[21:32] AS UUID, event_id, TIMESTAMP '2024-02-01 12:00:00' AS Timestamp,
+  1 AS copies, 2 AS attempts
+FROM (SELECT event_id, md5('form/' || CAST(event_id AS VARCHAR)) AS d FROM events)""",
+)
+def stamp_requests(spark, sf_dir):
+    """New requests get identifiers and a time, twice; both attempts give the same, all unique."""
+    rows = testbed.table(spark, sf_dir, "events").select("event_id")
+    at = datetime(2024, 2, 1, 12)
+    attempts = [messages.stamp_request(rows, "form", "event_id", at) for _ in range(2)]
+    both = attempts[0].unionByName(attempts[1].repartition(3))
+    return both.groupBy("UUID", "Timestamp").agg(
+        F.min("event_id").alias("event_id"), F.count_distinct("event_id").alias("copies"),
+        F.count(F.lit(1)).alias("attempts"),
+    )
+
+
 @query(
     "json_parse",
     """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL
@@ -718,21 +825,50 @@ def job_build_distances(spark, sf_dir):
     return readers.read_distances(spark, path)
 
 
+_FLEET_LIST = "CAST(FleetCount AS VARCHAR) || ' ' || md5(TailNumbers)"
+_FLIGHT_LIST = "CAST(FlightCount AS VARCHAR) || ' ' || md5(Flights)"
+
+
 @query(
     "job_build_serving_views",
-    f"""SELECT 'flights_by_month' AS view, count(*) AS rows FROM (SELECT DISTINCT Year, Month FROM flights)
-UNION ALL SELECT 'airplanes_per_carrier', count(*) FROM fleet
-UNION ALL SELECT 'flights_per_airplane', count(*) FROM airplane_flights
-UNION ALL SELECT 'manufacturer_totals', count(DISTINCT Manufacturer) FROM airplanes
-UNION ALL SELECT 'delay_histogram', count(DISTINCT floor(ArrDelay / 15)) FROM flights
-UNION ALL SELECT 'delay_class_counts', count(DISTINCT {oracle.delay_class('ArrDelay')}) FROM flights""",
+    f"""SELECT 'flights_by_month' AS view, CAST(Year AS VARCHAR) || '-' || CAST(Month AS VARCHAR) AS "key",
+  CAST(count(*) AS VARCHAR) AS "value" FROM flights GROUP BY Year, Month
+UNION ALL SELECT 'airplanes_per_carrier', Carrier || ' ' || CAST(Part AS VARCHAR), {_FLEET_LIST} FROM fleet
+UNION ALL SELECT 'flights_per_airplane', TailNum || ' ' || CAST(Part AS VARCHAR), {_FLIGHT_LIST} FROM airplane_flights
+UNION ALL SELECT 'manufacturer_totals', Manufacturer, CAST(count(*) AS VARCHAR) FROM airplanes GROUP BY Manufacturer
+UNION ALL SELECT 'delay_histogram', CAST(CAST(floor(ArrDelay / 15) * 15 AS INT) AS VARCHAR), CAST(count(*) AS VARCHAR)
+  FROM flights WHERE ArrDelay IS NOT NULL GROUP BY floor(ArrDelay / 15)
+UNION ALL SELECT 'delay_class_counts', {oracle.delay_label(oracle.delay_class('ArrDelay'))}, CAST(count(*) AS VARCHAR)
+  FROM flights WHERE ArrDelay IS NOT NULL GROUP BY 2""",
     ["fleet", "airplane_flights", "airplanes"],
 )
 def job_build_serving_views(spark, sf_dir):
+    """Everything the six stored views hold, as keys and values; lists by their count and digest."""
     path = new_dir(spark, "views")
     writers.land_flights(testbed.flights(spark, sf_dir), f"{path}/flights")
-    names = jobs.build_serving_views(
+    jobs.build_serving_views(
         readers.read_flights(spark, f"{path}/flights"), testbed.airplanes(spark, sf_dir), path
     )
-    counts = aggregates.table_counts({n: spark.read.parquet(f"{path}/{n}") for n in names})
-    return counts.select(F.col("table_name").alias("view"), F.col("row_count").alias("rows"))
+
+    def view(name, *keys, value, prepare=lambda df: df):
+        held = prepare(spark.read.parquet(f"{path}/{name}"))
+        key = F.concat_ws("-" if "Year" in keys else " ", *[F.col(k).cast("string") for k in keys])
+        return held.select(F.lit(name).alias("view"), key.alias("key"), value.cast("string").alias("value"))
+
+    def listed(count, items):
+        return F.concat_ws(" ", F.col(count).cast("string"), F.md5(items))
+
+    parts = [
+        view("flights_by_month", "Year", "Month", value=F.col("total_flights")),
+        view("airplanes_per_carrier", "Carrier", "Part", value=listed("FleetCount", "TailNumbers"),
+             prepare=fleet_text),
+        view("flights_per_airplane", "TailNum", "Part", value=listed("FlightCount", "Flights"),
+             prepare=flights_text),
+        view("manufacturer_totals", "Manufacturer", value=F.col("Total")),
+        view("delay_histogram", "label", value=F.col("value")),
+        view("delay_class_counts", "label", value=F.col("value")),
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from delaylab import schemas
 from delaylab.operators import features, learning
 from delaylab.plans import jobs, oracle
-from delaylab.plans.batch_queries import DAY
+from delaylab.plans.batch_queries import DAY, FEATURES
 from delaylab.plans.registry import (
     features_path, model_path, prepared_requests, query, scorer, stored_features,
 )
-from delaylab.session import new_dir
+from delaylab.session import materialize, new_dir
 from delaylab.sources import testbed
 
 
@@ -66,9 +66,9 @@ def _index(c: str) -> str:
                + ", ".join(f"{_index(c)} AS {c}_index" for c in learning.CATEGORIES)),
 )
 def index_features(spark, sf_dir):
-    indexer = learning.fit_indexer(features.derive_route(stored_features(spark, sf_dir)))
+    dictionary = learning.category_dictionary(stored_features(spark, sf_dir))
     requests = testbed.requests(spark, sf_dir).select("UUID", "Carrier", "Origin", "Dest")
-    return learning.index_features(requests, indexer)
+    return learning.index_features(requests, dictionary)
 
 
 @query(
@@ -80,102 +80,184 @@ def index_features(spark, sf_dir):
     )),
 )
 def assemble_features(spark, sf_dir):
-    indexer = learning.fit_indexer(features.derive_route(stored_features(spark, sf_dir)))
-    indexed = learning.index_features(prepared_requests(spark, sf_dir), indexer)
+    dictionary = learning.category_dictionary(stored_features(spark, sf_dir))
+    indexed = learning.index_features(prepared_requests(spark, sf_dir), dictionary)
     vectors = learning.assembler().transform(indexed).select("UUID", learning.VECTOR)
     return learning.vector_slots(vectors, len(learning.NUMERIC) + len(learning.CATEGORIES))
 
 
-@query("train_delay_classifier")
+@query(
+    "train_delay_classifier",
+    f"""SELECT {oracle.delay_class('ArrDelay')} AS ArrDelayBucket, count(*) AS n, 1 AS beats_majority
+FROM features GROUP BY 1""",
+    ["features"],
+)
 def train_delay_classifier(spark, sf_dir) -> DataFrame:
-    """Trains the forest; gives flights per actual and predicted class."""
+    """Trains the forest; flights of each actual class, and whether it beats the most frequent one."""
     table = stored_features(spark, sf_dir)
-    model = learning.train(table)
-    scored = learning.bucketize_delay(learning.score(table, model))
-    return scored.groupBy(learning.LABEL, learning.PREDICTION).agg(F.count(F.lit(1)).alias("n"))
+    scored = learning.bucketize_delay(learning.score(table, learning.train(table)))
+    counts = scored.groupBy(learning.LABEL).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(learning.LABEL) == F.col(learning.PREDICTION)).alias("right"),
+    )
+    counts = materialize(counts, "classes")
+    better = counts.agg(F.sum("right") > F.max("n")).scalar()
+    return counts.select(learning.LABEL, "n", better.alias("beats_majority"))
+
+
+def _same_again(spark, sf_dir) -> DataFrame:
+    """Every request scored, and whether the model loaded anew gives the same class."""
+    requests = prepared_requests(spark, sf_dir)
+    first = learning.score(requests, scorer(spark, sf_dir))
+    again = learning.score(requests, learning.load_model(model_path(spark, sf_dir))).select(
+        "UUID", F.col("Prediction").alias("_again")
+    )
+    return first.join(again, "UUID").select(
+        *schemas.REQUEST.names, "Route", F.col("Prediction").isin(0, 1, 2, 3).alias("classified"),
+        (F.col("Prediction") == F.col("_again")).alias("same_again"),
+    )
 
 
-@query("score_requests_batch")
+@query(
+    "score_requests_batch",
+    f"SELECT {RESULT_INPUTS}, 1 AS classified, 1 AS same_again FROM scored", ["scored"],
+)
 def score_requests_batch(spark, sf_dir):
-    """Every request scored by the stored model."""
-    scored = learning.score(prepared_requests(spark, sf_dir), scorer(spark, sf_dir))
-    return scored.select(*schemas.RESULT.names)
+    """Every request scored by the stored model, twice over."""
+    return _same_again(spark, sf_dir)
+
+
+def _in_sample(percent: float) -> str:
+    return (
+        f"substr(md5(concat_ws('|', {', '.join(learning.FLIGHT_KEY)})), 1, 8) "
+        f"< '{round(percent * 0x100000000 / 100):08x}'"
+    )
 
 
-@query("sample_predictions")
+@query(
+    "sample_predictions",
+    f"""SELECT {FEATURES}, Origin || '-' || Dest AS Route, 1 AS classified FROM features
+WHERE {_in_sample(0.1)}
+ORDER BY CRSDepTime, FlightDate, Carrier, FlightNum, Origin, Dest, {FEATURES} LIMIT 6""",
+    ["features"],
+)
 def sample_predictions(spark, sf_dir):
     """A glance at scored training rows."""
-    table = stored_features(spark, sf_dir)
-    return learning.preview(learning.score(table, scorer(spark, sf_dir)), share=0.01)
+    scored = learning.score(stored_features(spark, sf_dir), scorer(spark, sf_dir))
+    shown = learning.preview(scored)
+    return shown.withColumn("classified", F.col("Prediction").isin(0, 1, 2, 3)).drop("Prediction")
 
 
-@query("evaluate_classifier")
+@query(
+    "evaluate_classifier",
+    f"""SELECT count(*) AS "rows", count(*) FILTER (WHERE {_in_sample(20)}) AS held_out,
+  1 AS in_sample_beats_majority, 1 AS held_out_beats_majority FROM features""",
+    ["features"],
+)
 def evaluate_classifier(spark, sf_dir):
-    """Accuracy on the training rows and on rows held out by hash."""
+    """The classifier on the training rows and on rows held out by their key."""
     table = stored_features(spark, sf_dir)
-    inside = learning.evaluate_in_sample(table, scorer(spark, sf_dir))
-    outside = learning.evaluate_holdout(table)
+    inside = learning.bucketize_delay(learning.score(table, scorer(spark, sf_dir)))
+    outside = materialize(learning.score_holdout(table), "held-out")
     return table.agg(F.count(F.lit(1)).alias("rows")).select(
-        "rows", F.lit(inside).alias("in_sample"), F.lit(outside).alias("held_out")
+        "rows", F.lit(outside.count()).alias("held_out"),
+        F.lit(learning.beats_majority(inside)).alias("in_sample_beats_majority"),
+        F.lit(learning.beats_majority(outside)).alias("held_out_beats_majority"),
     )
 
 
-@query("predict_delay_regression")
+@query("predict_delay_regression", "SELECT UUID, 1 AS answered FROM prepared", ["prepared"])
 def predict_delay_regression(spark, sf_dir):
-    """Delay in minutes of every request, by the regressor."""
+    """Delay in minutes of every request, by the regressor; a finite number each."""
     model = learning.train_regressor(stored_features(spark, sf_dir))
-    return learning.predict_delay(prepared_requests(spark, sf_dir), model).select("UUID", "Delay")
+    answered = F.col("Delay").isNotNull() & (F.abs("Delay") < float("inf"))
+    return learning.predict_delay(prepared_requests(spark, sf_dir), model).select(
+        "UUID", answered.alias("answered")
+    )
 
 
-@query("train_full_chain")
-def train_full_chain(spark, sf_dir):
-    """Profile, label, index, assemble, fit, save, reload, score and count by class."""
+@query(
+    "train_pipeline",
+    f"SELECT {oracle.delay_class('ArrDelay')} AS ArrDelayBucket, count(*) AS n, count(*) AS same_again "
+    "FROM features GROUP BY 1",
+    ["features"],
+)
+def train_pipeline(spark, sf_dir):
+    """Profile, label, index, assemble, fit, save, reload and score, by class; rows scored alike."""
     table = stored_features(spark, sf_dir)
     path = new_dir(spark, "model")
-    learning.save_model(learning.train(table), path)
-    scored = learning.score(table, learning.load_model(path))
-    return scored.groupBy(learning.PREDICTION).agg(F.count(F.lit(1)).alias("count"))
+    model = learning.train(table)
+    learning.save_model(model, path)
+    fitted = learning.score(table, model)
+    both = learning.score(fitted.withColumnRenamed("Prediction", "_fitted"), learning.load_model(path))
+    return learning.bucketize_delay(both).groupBy(learning.LABEL).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("Prediction") == F.col("_fitted")).alias("same_again"),
+    )
+
 
+_RECORD = """SELECT {trees} AS num_trees, 1024 AS max_memory_mb, count(*) AS train_rows,
+  CAST(greatest(32, 1 + count(DISTINCT Origin || '-' || Dest)) AS INT) AS max_bins, {hashed} AS hashed,
+  1 AS plausible FROM features"""
 
-@query("training_run_log")
+
+def _records(runs: DataFrame) -> DataFrame:
+    """Run records; the accuracy of a fitted forest is only known to lie between 0 and 1."""
+    plausible = F.col("accuracy").between(0.2, 0.9999) & F.col("run_at").isNotNull() & (F.col("partitions") > 0)
+    return runs.select(
+        "num_trees", "max_memory_mb", "train_rows", "max_bins", "hashed", plausible.alias("plausible")
+    )
+
+
+@query(
+    "training_run_log",
+    _RECORD.format(trees=5, hashed="''") + " UNION ALL "
+    + _RECORD.format(trees=10, hashed="'Route'").replace("count(DISTINCT Origin || '-' || Dest)", "27"),
+    ["features"],
+)
 def training_run_log(spark, sf_dir):
-    """Two training runs recorded; gives the better one."""
+    """Two training runs recorded, one with dictionaries alone and one with hashed routes."""
     path = new_dir(spark, "runs")
     table = stored_features(spark, sf_dir)
-    profile = learning.profile_training(table)
-    for trees in (5, 10):
-        model = learning.train(table, learning.ForestSettings(trees=trees), profile)
+    rows = learning.profile_training(table).rows
+    for trees, encoding in ((5, None), (10, {"Route": "hashed"})):
+        settings = learning.ForestSettings(trees=trees)
+        model = learning.train(table, settings, encoding)
         quality = learning.evaluate_in_sample(table, model)
-        learning.log_run(spark, path, model, profile.rows, quality)
-    return learning.best_run(learning.read_runs(spark, path))
+        learning.log_run(
+            spark, path, model, rows, quality, encoding, learning.default_partitions(table)
+        )
+    return _records(learning.read_runs(spark, path))
 
 
-@query("job_train")
+@query("job_train", _RECORD.format(trees=20, hashed="''"), ["features"])
 def job_train(spark, sf_dir):
     """Feature table to a stored model; gives the run record."""
     path = new_dir(spark, "job-train")
     jobs.train(spark, features_path(spark, sf_dir), f"{path}/model", f"{path}/runs")
-    return learning.best_run(learning.read_runs(spark, f"{path}/runs"))
+    return _records(learning.best_run(learning.read_runs(spark, f"{path}/runs")))
 
 
 @query(
     "job_daily_score",
-    f"""SELECT {RESULT_INPUTS}, 1 AS classified FROM scored
+    f"""SELECT {RESULT_INPUTS}, 1 AS as_in_batch FROM scored
 WHERE CAST(Timestamp AS DATE) = DATE '{DAY}'""",
     ["scored"],
 )
 def job_daily_score(spark, sf_dir):
-    """One day fetched, scored and stored twice over; gives that day's results."""
+    """One day fetched, scored and stored twice over; that day's results set against a batch score."""
     path = new_dir(spark, "job-daily")
+    requests = prepared_requests(spark, sf_dir)
     for _ in range(2):
         jobs.daily_score(
-            spark, prepared_requests(spark, sf_dir), DAY, f"{path}/tasks",
-            model_path(spark, sf_dir), f"{path}/results",
+            spark, requests, DAY, f"{path}/tasks", model_path(spark, sf_dir), f"{path}/results",
         )
     results = spark.read.schema(schemas.RESULT).parquet(f"{path}/results")
-    return results.select(
-        *schemas.REQUEST.names, "Route", F.col("Prediction").isin(0, 1, 2, 3).alias("classified")
+    batch = learning.score(requests, scorer(spark, sf_dir)).select(
+        "UUID", F.col("Prediction").alias("_batch")
     )
+    same = F.col("Prediction") == F.col("_batch")
+    return results.join(batch, "UUID").select(*schemas.REQUEST.names, "Route", same.alias("as_in_batch"))
 
 
 def flagship(spark, sf_dir: str) -> DataFrame:

@@ -61,10 +61,13 @@ def _once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], ob
     return _stored[key]
 
 
-def stored_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+def distances_path(spark: SparkSession, sf_dir: str) -> str:
     flights = testbed.flights(spark, sf_dir, "Origin", "Dest", "Distance")
-    path = _once(spark, sf_dir, "distances", lambda p: jobs.build_distances(flights, p))
-    return readers.read_distances(spark, path)
+    return _once(spark, sf_dir, "distances", lambda p: jobs.build_distances(flights, p))
+
+
+def stored_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_distances(spark, distances_path(spark, sf_dir))
 
 
 def features_path(spark: SparkSession, sf_dir: str) -> str:

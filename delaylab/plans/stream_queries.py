@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from delaylab import schemas
 from delaylab.functions import messages
-from delaylab.operators import features, learning
+from delaylab.operators import features, joins, learning
 from delaylab.plans import jobs
-from delaylab.plans.batch_queries import REQUEST, RESULT
+from delaylab.plans.batch_queries import DAY, REQUEST, RESULT
 from delaylab.plans.registry import (
-    model_path, prepared_requests, query, scorer, stored_distances,
+    distances_path, model_path, prepared_requests, query, scorer, stored_distances,
 )
 from delaylab.session import new_dir
-from delaylab.sources import readers, testbed, upserts
-from delaylab.streaming import matching, sinks, topics
+from delaylab.sources import readers, testbed, upserts, writers
+from delaylab.streaming import matching, progress, sinks, topics
 
 
 def _publish_requests(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -154,66 +154,157 @@ def stream_fanout(spark, sf_dir):
 
 @query("stream_dedup_requests", f"SELECT {REQUEST} FROM prepared", ["prepared"])
 def stream_dedup_requests(spark, sf_dir):
-    """Every message is delivered twice and kept once."""
+    """The later half is delivered first; then all messages come, older and repeated ones alike."""
     path = new_dir(spark, "dedup")
-    for _ in range(2):
-        _publish_requests(spark, sf_dir, f"{path}/topic")
-    single = topics.parse_once(readers.stream_topic(spark, f"{path}/topic"))
-    sinks.append_stream(
-        single.select(*schemas.REQUEST.names), f"{path}/out", f"{path}/checkpoint"
-    ).awaitTermination()
-    return spark.read.schema(schemas.REQUEST).parquet(f"{path}/out")
+    requests = prepared_requests(spark, sf_dir)
+    targets = {
+        "documents": sinks.documents(f"{path}/documents"), "seen": sinks.remembered(f"{path}/seen"),
+    }
+    for part in (requests.where(F.col("Timestamp") >= F.lit(DAY).cast("timestamp_ntz")), requests):
+        for _ in range(2):
+            topics.request_log(part).write.mode("append").parquet(f"{path}/topic")
+        parsed = topics.parse_requests(readers.stream_topic(spark, f"{path}/topic"))
+        sinks.fan_out(
+            parsed, targets, f"{path}/checkpoint", prepare=sinks.first_seen(f"{path}/seen")
+        ).awaitTermination()
+    return spark.read.parquet(f"{path}/documents").select(*schemas.REQUEST.names)
 
 
 @query(
     "stream_response_join",
-    """SELECT id, asked_at, status, prediction
-FROM (SELECT r.UUID AS id, r.Timestamp AS asked_at,
-    CASE WHEN r.responded THEN 'OK' ELSE 'WAIT' END AS status,
-    CASE WHEN r.responded THEN CAST(s.prediction AS VARCHAR) END AS prediction
-  FROM requests r JOIN responses s ON r.UUID = s.uuid)
-WHERE status = 'OK' OR asked_at + INTERVAL 1 HOUR < (
-  SELECT least(max(Timestamp), max(CASE WHEN responded THEN Timestamp + INTERVAL 5 MINUTE END))
-    - INTERVAL 10 MINUTE FROM requests)""",
+    """SELECT r.UUID AS id, r.Timestamp AS asked_at,
+  CASE WHEN r.responded THEN 'OK' ELSE 'WAIT' END AS status,
+  CASE WHEN r.responded THEN CAST(s.prediction AS VARCHAR) END AS prediction
+FROM requests r JOIN responses s ON r.UUID = s.uuid""",
     ["responses"],
 )
 def stream_response_join(spark, sf_dir):
-    """Requests matched to responses that come some minutes later, or not at all."""
+    """Requests matched to responses that come some minutes later, three times over, or not at all."""
     path = new_dir(spark, "match")
     scored = learning.naive_score(prepared_requests(spark, sf_dir))
     topics.request_log(scored).write.parquet(f"{path}/requests")
     answered = scored.join(testbed.responded(spark, sf_dir), "UUID", "semi").withColumn(
         "answered_at", F.col("Timestamp") + F.expr("INTERVAL 5 MINUTES")
     )
-    topics.as_log(
+    log = topics.as_log(
         answered.withColumn("message", messages.response_message()),
         schemas.RESPONSE_TOPIC, "answered_at",
-    ).write.parquet(f"{path}/responses")
-    asked = readers.stream_topic(spark, f"{path}/requests").select(
-        F.col("key").alias("UUID"), F.col("timestamp").alias("asked_at")
     )
-    replies = readers.stream_topic(spark, f"{path}/responses").select(
-        F.col("key").alias("uuid"), F.col("timestamp").alias("answered_at"),
-        messages.parse_response(F.col("value"))["prediction"].cast("int").alias("prediction"),
+    for _ in range(3):
+        log.write.mode("append").parquet(f"{path}/responses")
+
+    def asked(topic):
+        return topic.select(F.col("key").alias("UUID"), F.col("timestamp").alias("asked_at"))
+
+    def replies(topic):
+        return topic.select(
+            F.col("key").alias("uuid"), F.col("timestamp").alias("answered_at"), "offset",
+            messages.parse_response(F.col("value"))["prediction"].cast("int").alias("prediction"),
+        )
+
+    matched = matching.match_responses(
+        asked(readers.stream_topic(spark, f"{path}/requests")),
+        replies(readers.stream_topic(spark, f"{path}/responses")), spread=F.col("offset"),
+    )
+    sinks.append_stream(matched, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    told = spark.read.schema(matched.schema).parquet(f"{path}/out")
+    late = matching.close_out(
+        asked(readers.read_topic(spark, f"{path}/requests")),
+        replies(readers.read_topic(spark, f"{path}/responses")), told,
     )
-    joined = matching.match_responses(asked, replies)
-    sinks.append_stream(joined, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/out").select(
+    return told.unionByName(late).select(
         "id", F.col("asked_at").cast("timestamp_ntz").alias("asked_at"), "status",
         F.col("prediction").cast("string").alias("prediction"),
     )
 
 
-@query("job_stream_score", _SINK_SQL, ["responses"])
+@query(
+    "topic_lag",
+    f"""SELECT 'requests' AS topic, CAST(user_id % 4 AS INT) AS "partition", count(*) AS messages,
+  count(*) FILTER (WHERE ts < TIMESTAMP '{DAY}') AS consumed,
+  count(*) FILTER (WHERE ts >= TIMESTAMP '{DAY}') AS lag FROM events GROUP BY 2""",
+)
+def topic_lag(spark, sf_dir):
+    """A query reads the first half of a topic; what it has left when the second half has come."""
+    path = new_dir(spark, "lag")
+    log = testbed.message_log(spark, sf_dir)
+    half = F.col("timestamp") < F.lit(DAY).cast("timestamp_ntz")
+    log.where(half).write.parquet(f"{path}/topic")
+    stream = readers.stream_topic(spark, f"{path}/topic").select("topic", "partition", "offset")
+    sinks.append_stream(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    log.where(~half).write.mode("append").parquet(f"{path}/topic")
+    return progress.file_lag(spark, readers.read_topic(spark, f"{path}/topic"), f"{path}/checkpoint")
+
+
+@query(
+    "response_lookup",
+    """SELECT r.UUID AS id, CASE WHEN r.responded THEN 'OK' ELSE 'WAIT' END AS status,
+  CASE WHEN r.responded THEN s.dep_delay + 1 END AS dep_delay
+FROM requests r JOIN responses s ON r.UUID = s.uuid WHERE r.UUID IN (
+  SELECT min(UUID) FROM requests GROUP BY responded)""",
+    ["responses"],
+)
+def response_lookup(spark, sf_dir):
+    """One answered and one unanswered request, each looked up by its id in the response table.
+
+    Every response is stored twice, in two batches; the later one counts.
+    """
+    path = new_dir(spark, "lookup")
+    scored = learning.naive_score(prepared_requests(spark, sf_dir)).join(
+        testbed.responded(spark, sf_dir), "UUID", "semi"
+    )
+    for batch in range(2):
+        changed = scored.withColumn("DepDelay", F.col("DepDelay") + batch)
+        sinks.response_table(f"{path}/table")(changed, batch)
+    answered = testbed.responded(spark, sf_dir)
+    requests = testbed.requests(spark, sf_dir).select("UUID")
+    first = F.min("UUID").alias("UUID")
+    asked = requests.join(answered, "UUID", "semi").agg(first).unionByName(
+        requests.join(answered, "UUID", "left_anti").agg(first)
+    )
+    found = None
+    for row in asked.collect():
+        one = upserts.look_up(spark, f"{path}/table", row["UUID"])
+        status = joins.response_status(spark.createDataFrame([row]), one).select("id", "status")
+        status = status.join(one.select(F.col("uuid").alias("id"), "dep_delay"), "id", "left")
+        found = status if found is None else found.unionByName(status)
+    return found
+
+
+_REBUILT_SQL = _SINK_SQL.replace(
+    " distance FROM", f""" CASE WHEN distance > 0 AND "timestamp" < TIMESTAMP '{DAY}' THEN distance + 1000
+  ELSE distance END AS distance FROM"""
+)
+
+
+@query("job_stream_score", _REBUILT_SQL, ["responses"])
 def job_stream_score(spark, sf_dir):
-    """The streaming job over the whole request topic."""
+    """The streaming job over the request topic; distances are rebuilt while it runs.
+
+    The first half comes with old distances in store, and every message twice. The table is then
+    replaced, without restarting the query, and the whole topic comes once more: what had not
+    been seen is scored with the new distances.
+    """
     path = new_dir(spark, "job-stream")
     bare = features.with_date_parts(testbed.requests(spark, sf_dir)).withColumn(
         "Distance", F.lit(None).cast("double")
     )
-    topics.request_log(bare).write.parquet(f"{path}/topic")
-    jobs.stream_score(
+    distances = stored_distances(spark, sf_dir)
+    old = distances.withColumn("Distance", F.col("Distance") + 1000)
+    writers.write_distances(old, f"{path}/distances")
+    half = F.col("Timestamp") < F.lit(DAY).cast("timestamp_ntz")
+    for _ in range(2):
+        topics.request_log(bare.where(half)).write.mode("append").parquet(f"{path}/topic")
+    running = jobs.stream_score(
         readers.stream_topic(spark, f"{path}/topic"), model_path(spark, sf_dir),
-        stored_distances(spark, sf_dir), _fan_out_targets(path), f"{path}/checkpoint",
-    ).awaitTermination()
+        f"{path}/distances", _fan_out_targets(path), f"{path}/checkpoint", every="0 seconds",
+        seen_path=f"{path}/seen",
+    )
+    try:
+        running.processAllAvailable()
+        writers.write_distances(distances, f"{path}/distances")
+        topics.request_log(bare).write.mode("append").parquet(f"{path}/topic")
+        running.processAllAvailable()
+    finally:
+        running.stop()
     return _sink_rows(spark, path)

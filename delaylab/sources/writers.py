@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from delaylab.sources import versions
+
 #: Upper bound of rows per output file.
 FILE_ROWS = 5_000_000
 
@@ -21,21 +23,23 @@ def write_features(features: DataFrame, path: str, format: str = "parquet") -> N
 
 
 def write_distances(distances: DataFrame, path: str) -> None:
-    """Replace the distance table."""
-    distances.select(
+    """Publish a new version of the distance table; who reads the one before is not disturbed."""
+    table = distances.select(
         F.col("Origin").alias("origin"), F.col("Dest").alias("dest"),
         F.col("Distance").alias("distance"),
-    ).write.mode("overwrite").parquet(path)
+    )
+    versions.publish(distances.sparkSession, path, lambda folder: table.write.parquet(folder))
 
 
 def write_daily(
     df: DataFrame, path: str, moment: str = "Timestamp", rebalance: bool = True,
     day: str | None = None,
-) -> None:
+) -> int:
     """Replace exactly the days present in ``df``; other days stay as they are.
 
     With ``day`` (yyyy-mm-dd) that day alone is replaced by its rows in ``df``, and emptied if it
-    has none; without it a day that ``df`` does not mention keeps its rows.
+    has none; without it a day that ``df`` does not mention keeps its rows. Returns how many rows
+    were left out because they are of another day or have no time; without ``day`` none are.
 
     Rows are rebalanced by day: adaptive execution joins small days and splits a large one,
     so a day is neither one huge file nor one sliver per task. Rows that already come from
@@ -43,10 +47,13 @@ def write_daily(
     again gives the same table.
     """
     if day is not None:
-        df.where(F.to_date(moment) == F.lit(day).cast("date")).write.mode("overwrite").option(
+        theirs = F.to_date(moment) == F.lit(day).cast("date")
+        seen = Observation()
+        counted = df.observe(seen, F.count_if(~F.coalesce(theirs, F.lit(False))).alias("left_out"))
+        counted.where(theirs).write.mode("overwrite").option(
             "maxRecordsPerFile", FILE_ROWS
         ).parquet(f"{path}/request_date={day}")
-        return
+        return seen.get["left_out"]
     dated = df.withColumn("request_date", F.to_date(moment))
     (
         (dated.hint("rebalance", "request_date") if rebalance else dated)
@@ -54,6 +61,7 @@ def write_daily(
         .option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy("request_date").parquet(path)
     )
+    return 0
 
 
 def append_results(results: DataFrame, path: str, format: str = "parquet") -> None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+from collections.abc import Callable
 from contextlib import contextmanager
 from typing import Protocol
 
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from delaylab.operators.features import response_projection
+from delaylab.operators.hotkeys import first_per_key
 from delaylab.sources import upserts
 from delaylab.streaming.topics import addressed, response_messages
 
@@ -22,16 +25,26 @@ class BatchSink(Protocol):
     def __call__(self, batch: DataFrame, batch_id: int, run: str = upserts.NO_RUN) -> None: ...
 
 
+#: Turns a micro-batch into the rows that all sinks get; called with batch, number and run.
+Prepare = Callable[[DataFrame, int, str], DataFrame]
+
+
+def note_start(spark: SparkSession, checkpoint: str) -> None:
+    """Write down when the query of ``checkpoint`` first started, unless that has been done.
+
+    The time is a line of a file below the checkpoint and goes wherever the checkpoint is copied.
+    """
+    now = spark.createDataFrame([(f"{time.time_ns() // 1_000_000:015d}",)], "started string")
+    now.coalesce(1).write.mode("ignore").text(f"{checkpoint}/first-start")
+
+
 def run_name(spark: SparkSession, checkpoint: str) -> str:
-    """Start and id of the query that owns ``checkpoint``; names of later queries sort behind.
+    """First start and id of the query that owns ``checkpoint``; names of later queries sort behind.
 
-    Both come from the file that a query writes when it first starts, so a restart keeps them.
-    A checkpoint that is moved has to keep its file times.
+    Both come from what is written in files there, so a restart, or a copy, keeps them.
     """
-    first = spark.read.text(f"{checkpoint}/metadata").select(
-        "value", F.unix_millis("_metadata.file_modification_time").alias("started")
-    ).first()
-    return f"{first.started:015d}-{json.loads(first.value)['id']}"
+    started = spark.read.text(f"{checkpoint}/first-start").agg(F.min("value")).first()[0]
+    return f"{started}-{json.loads(spark.read.text(f'{checkpoint}/metadata').first().value)['id']}"
 
 
 def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -116,25 +129,56 @@ def response_topic(location: str, format: str = "parquet", **options: str) -> Ba
     return write
 
 
+def first_seen(path: str, key: str = "UUID") -> Prepare:
+    """Rows whose key no earlier batch had, however long ago; one row of each key.
+
+    The keys that have been let through are a table of their own below ``path`` (see
+    ``upserts.unseen``); no watermark forgets them, so late rows that are no copies are kept.
+    Rows without a key cannot be told apart and are left out.
+    """
+
+    def prepare(batch: DataFrame, batch_id: int, run: str) -> DataFrame:
+        rest = [c for c in batch.columns if c != key]
+        single = first_per_key(batch.where(F.col(key).isNotNull()), [key], rest)
+        return upserts.unseen(single, path, batch_id, key, run)
+
+    return prepare
+
+
+def remembered(path: str, key: str = "UUID") -> BatchSink:
+    """Remembers the keys of what :func:`first_seen` let through; belongs among the sinks."""
+
+    def write(batch: DataFrame, batch_id: int, run: str = upserts.NO_RUN) -> None:
+        upserts.write_keys(batch, path, batch_id, key, run)
+
+    return write
+
+
 def fan_out(
-    df: DataFrame, sinks: dict[str, BatchSink], checkpoint: str, every: str | None = None
+    df: DataFrame, sinks: dict[str, BatchSink], checkpoint: str, every: str | None = None,
+    prepare: Prepare | None = None,
 ) -> StreamingQuery:
     """Feed every sink from one query: a batch is read and scored once, then written to each.
 
     All sinks see the same batches. A batch is replayed after a failure; file sinks replace
     what they had written for it, so they end up with every message once. Several queries may
-    share a sink: each writes to folders of its own.
+    share a sink: each writes to folders of its own. ``prepare`` is applied to each batch as an
+    ordinary DataFrame, for steps that read stored tables as they are at that moment.
     """
+    run: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = run_name(batch.sparkSession, checkpoint)
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if not run:
+            run.append(run_name(batch.sparkSession, checkpoint))
+        rows = batch if prepare is None else prepare(batch, batch_id, run[0])
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for sink in sinks.values():
-                sink(batch, batch_id, run)
+                sink(rows, batch_id, run[0])
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
+    note_start(df.sparkSession, checkpoint)
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     with state_partitions(df.sparkSession):
         return triggered(writer, every).start()

@@ -1,6 +1,8 @@
 """Edge cases of the column functions."""
 
 import datetime as dt
+import hashlib
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,11 +109,20 @@ def test_json(spark):
 
 
 def test_stamped_requests_have_distinct_ids(spark):
-    stamped = messages.stamp_request(spark.range(50)).collect()
+    stamped = messages.stamp_request(spark.range(50), "a").collect()
     assert len({r["UUID"] for r in stamped}) == 50
     assert all(r["Timestamp"] is not None for r in stamped)
 
 
+def test_stamps_survive_another_attempt(spark):
+    assert one(spark, messages.name_uuid(lit("a/1"))) == str(uuid.UUID(bytes=hashlib.md5(b"a/1").digest(), version=3))
+    rows = spark.range(40).withColumn("n", F.col("id") + 5)
+    ids = [[r["UUID"] for r in messages.stamp_request(df, "b", "n").orderBy("n").collect()]
+           for df in (rows, rows.repartition(5))]
+    assert ids[0] == ids[1] and len(set(ids[0])) == 40
+    assert not set(ids[0]) & {r["UUID"] for r in messages.stamp_request(rows, "c", "n").collect()}
+
+
 def test_day_predicate_is_half_open(spark):
     df = spark.createDataFrame(
         [(dt.datetime(2016, 1, 1),), (dt.datetime(2016, 1, 1, 23, 59, 59, 999999),),

@@ -31,13 +31,13 @@ def test_label_order_matches_the_indexer(spark):
     df = spark.createDataFrame([(c,) for c in "baccdab"], "c string")
     labels = aggregates.index_labels(df, ["c"]).orderBy("idx").collect()
     assert [r["label"] for r in labels] == ["a", "b", "c", "d"]
-    assert list(learning.fit_indexer(df, ["c"]).labelsArray[0]) == ["a", "b", "c", "d"]
+    assert learning.fit_indexers(df, ["c"])[0].labels == ["a", "b", "c", "d"]
 
 
 def test_unseen_category_gets_the_next_index(spark):
-    indexer = learning.fit_indexer(
+    indexer = learning.fit_indexers(
         spark.createDataFrame([("AA",), ("DL",)], "Carrier string"), ["Carrier"]
-    )
+    )[0]
     unseen = spark.createDataFrame([("ZZ",)], "Carrier string")
     assert indexer.transform(unseen).first()["Carrier_index"] == 2.0
 
@@ -90,7 +90,7 @@ def test_a_dictionary_over_the_limit_is_refused(table):
 
 def test_named_categories_are_hashed(table, requests):
     mixed = learning.train(table, SMALL, encoding={"Route": "hashed"}, partitions=3)
-    assert [type(s).__name__ for s in mixed.stages][:2] == ["StringIndexerModel", "FeatureHasher"]
+    assert [type(s).__name__ for s in mixed.stages][:4] == ["StringIndexerModel"] * 3 + ["FeatureHasher"]
     assert learning.score(requests, mixed).where("Prediction is null").isEmpty()
 
 
@@ -124,5 +124,5 @@ def test_samples(spark, table, model):
     assert 0.05 < features.sample_share(table, 0.1, 27).count() / table.count() < 0.2
     first = features.sample_by_key(table, ["FlightNum"], 10)
     assert first.count() == features.sample_by_key(table.repartition(3), ["FlightNum"], 10).count()
-    times = [r["CRSDepTime"] for r in learning.preview(table, 0.1).collect()]
+    times = [r["CRSDepTime"] for r in learning.preview(table, 10).collect()]
     assert len(times) == 6 and times == sorted(times)

@@ -185,7 +185,7 @@ def test_job_drops_repeated_messages(spark, requests, sf_dir):
         publish(requests, f"{path}/topic")
     jobs.stream_score(
         readers.stream_topic(spark, f"{path}/topic"), registry.model_path(spark, sf_dir),
-        registry.stored_distances(spark, sf_dir),
+        registry.distances_path(spark, sf_dir),
         {"documents": sinks.documents(f"{path}/documents")}, f"{path}/cp",
         duplicates_within="10 minutes",
     ).awaitTermination()
@@ -234,7 +234,7 @@ def test_distance_is_filled_only_where_it_was_not_sent(spark, requests, sf_dir):
         "Distance", F.when(F.col("DepDelay") % 2 == 0, F.lit(7.0))
     )
     publish(sent, f"{path}/topic")
-    distances = registry.stored_distances(spark, sf_dir)
+    distances = registry.distances_path(spark, sf_dir)
     jobs.stream_score(
         readers.stream_topic(spark, f"{path}/topic"), registry.model_path(spark, sf_dir),
         distances, {"documents": sinks.documents(f"{path}/documents")}, f"{path}/cp",
