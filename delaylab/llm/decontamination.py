@@ -250,13 +250,15 @@ def _union(spans: list[dict]) -> list[dict]:
 def find_overlaps(
     docs: DataFrame, items: DataFrame, item: str = "item_id", text: str = "text",
     item_text: str = "text", width: int = 10, block_windows: int = BLOCK_WINDOWS,
+    least_words: int = 1,
 ) -> DataFrame:
     """Adds to each document where it repeats windows of ``width`` words of the items.
 
     New columns: ``n_words``; ``hit_spans``, the words inside any occurrence as maximal runs
     (first, last; words count from 0); ``hit_items``, the items with occurring windows, as
     sorted strings. Words are runs of letters and digits after lowering A-Z. An item with fewer
-    words than ``width`` is one window of all its words; without words it has none.
+    words than ``width`` is one window of all its words; without words it has none. Items with
+    fewer words than ``least_words`` (from 1 to ``width``) are left out.
 
     Null and empty texts have no words and no hits; so has every document if ``items`` is empty.
     Null item numbers are left out of ``hit_items`` but their windows hit. Equal windows of
@@ -265,7 +267,10 @@ def find_overlaps(
     """
     new = ("n_words", "hit_spans", "hit_items", "_spans", "_items")
     kept = spare(docs, new)
-    windows = materialize(item_windows(items, item, item_text, width), "windows")
+    if not 1 <= least_words <= width:
+        raise ValueError("least_words must lie between 1 and the width of a window")
+    windows = item_windows(items, item, item_text, width).where(F.col("words") >= least_words)
+    windows = materialize(windows, "windows")
     blocks = -(-windows.count() // block_windows)
     windows = windows.withColumn(
         "_block", F.pmod(F.xxhash64("window"), F.lit(max(blocks, 1)))
@@ -311,11 +316,19 @@ def hit_words(spans) -> F.Column:
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, text: str = "text", **options
+    docs: DataFrame, items: DataFrame, text: str = "text", width: int = 10,
+    least_words: int | None = None, **options
 ) -> DataFrame:
-    """The documents without a word inside an occurring window; their columns are unchanged."""
+    """The documents without a word inside an occurring window; their columns are unchanged.
+
+    Items with fewer words than ``least_words``, by default ``width``, drop nothing: the one
+    window of an item such as "the" stands in most clean documents. Documents with null, empty or
+    too short texts stay, repeated rows are judged one by one, and an empty table of items or
+    documents leaves the documents as they are.
+    """
     rows = docs.select(F.struct("*").alias("doc"), F.col(f"`{text}`").alias("text"))
-    found = find_overlaps(rows, items, text="text", **options)
+    least = width if least_words is None else least_words
+    found = find_overlaps(rows, items, text="text", width=width, least_words=least, **options)
     return found.where(F.size("hit_spans") == 0).select("doc.*")
 
 

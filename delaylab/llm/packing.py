@@ -30,19 +30,17 @@ CAPACITY = 2048
 PIECE = 512
 #: Pieces divided together, on average.
 GROUP = 512
+#: Groups that a task divides.
+GROUPS_PER_TASK = 16
 END_ID = 1
 _CHUNK_CHARS = 1 << 19
 
 
-def public_vocabulary() -> tuple[str, str, str]:
-    """(JSON file, ranks file, word pattern) of the public byte-level vocabulary."""
+def public_vocabulary() -> str:
+    """JSON file of the public byte-level vocabulary."""
     import public_tokenizers
 
-    return (
-        public_tokenizers.path("byte_bpe_50k.json"),
-        public_tokenizers.path("byte_bpe_50k.tiktoken"),
-        public_tokenizers.PATTERN,
-    )
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _bounds(total: int, capacity: int, piece: int) -> np.ndarray:
@@ -55,9 +53,9 @@ def _bounds(total: int, capacity: int, piece: int) -> np.ndarray:
     return np.concatenate([starts, inner])
 
 
-def _cutter(vocabulary, text: str, names: list[str], capacity: int, piece: int, end_id: int):
+def _cutter(vocabulary: str, text: str, names: list[str], capacity: int, piece: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.load(*vocabulary)
+        encoder = tokens.load(vocabulary)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.names.index(text)).to_pylist()]
             lo = 0
@@ -98,7 +96,7 @@ def _cutter(vocabulary, text: str, names: list[str], capacity: int, piece: int,
 
 
 def cut_documents(
-    docs: DataFrame, text: str = "text", vocabulary: tuple[str, str, str] | None = None,
+    docs: DataFrame, text: str = "text", vocabulary: str | None = None,
     capacity: int = CAPACITY, piece: int = PIECE, end_id: int = END_ID,
 ) -> DataFrame:
     """Pieces of the token ids of each document, instead of its text.
@@ -158,9 +156,8 @@ def _divide(capacity: int):
             for i in members:
                 sequence[i], offset[i] = number, place
                 place += lengths[i]
-        group["sequence_id"] = (group["_group"].to_numpy() << 24 | sequence) << 1
-        group["offset"] = offset
-        return group
+        sequence_id = (group["_group"].to_numpy() << 24 | sequence) << 1
+        return pd.DataFrame({"_piece": group["_piece"], "sequence_id": sequence_id, "offset": offset})
 
     return run
 
@@ -172,7 +169,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP) -
     A piece as long as the capacity is a sequence by itself. The others are dealt into groups by
     their number in the input, not by their content, so neither copies nor repeated rows make a
     large group. Each piece is placed exactly once. Null or other lengths raise an error; no
-    pieces give no sequences. Columns named like the new ones are replaced.
+    pieces give no sequences. Columns named like the new ones are replaced; all others, token ids
+    among them, stay with their piece and do not go through the grouping.
     """
     kept = spare(pieces, ("sequence_id", "offset", "_piece", "_group"))
     checked = F.when(
@@ -186,30 +184,43 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP) -
     )
     short = numbered.where(F.col("length") < capacity)
     groups = max(1, round(short.count() / group_size))
-    dealt = short.withColumn("_group", F.pmod(F.xxhash64("_piece"), F.lit(groups)).cast("long"))
-    schema = T.StructType([*dealt.schema.fields]).add("sequence_id", "long").add("offset", "long")
+    group = F.pmod(F.xxhash64("_piece"), F.lit(groups)).cast("long").alias("_group")
+    # Dividing costs time and few bytes: the tasks are made by groups, not by size.
+    dealt = short.select("_piece", "length", group).repartition(-(-groups // GROUPS_PER_TASK), "_group")
+    places = materialize(
+        dealt.groupBy("_group").applyInPandas(
+            _divide(capacity), "_piece long, sequence_id long, offset long"
+        ),
+        "places",
+    )
     columns = [*(F.col(f"`{c}`") for c in kept), F.col("sequence_id"), F.col("offset")]
     full = numbered.where(F.col("length") == capacity).select(
         *(F.col(f"`{c}`") for c in kept),
         F.expr("shiftleft(_piece, 1) | 1").alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
-    filled = dealt.groupBy("_group").applyInPandas(_divide(capacity), schema).select(*columns)
-    return full.unionByName(filled)
+    return full.unionByName(short.join(places, "_piece").select(*columns))
+
 
+def packed_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", with_ids: bool = True
+) -> DataFrame:
+    """Every piece of all documents with its place, the CRC-32 of its ids and, mostly, its ids.
 
-def packed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every piece of all documents with its place and the CRC-32 of its ids."""
+    ``ids`` are 32 bits each, little-endian; without ``with_ids`` they are dropped before
+    anything is stored. A null text is a document of its end id alone; repeated rows are packed
+    one by one, and no documents give no pieces.
+    """
     pieces = cut_documents(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), text)
-    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(narrow).select(
-        key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
-    )
+    marked = pieces.withColumn("ids_crc32", F.crc32("ids"))
+    names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    return pack(marked if with_ids else marked.drop("ids")).select(*names, *["ids"] * with_ids)
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 ids."""
-    return packed_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return packed_documents(docs, with_ids=False)
 
 
 QUERIES = {"op4_packing": op4_packing}

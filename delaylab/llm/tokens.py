@@ -1,14 +1,15 @@
 """Token ids of a public byte-level BPE vocabulary, many texts at a time.
 
-The ids are those of the vocabulary's own library. That library spends its time on cutting texts
-into words and on words it has met before; here texts are cut with array operations on their code
-points, and each distinct word of a worker (told by a 64-bit hash) is encoded once.
+All ids come from the ``tokenizers`` library. It spends its time on cutting texts into words and on
+words it has met before; here texts are cut with array operations on their code points, and the
+library encodes each distinct word of a worker (told by a 64-bit hash) once. A word by itself is
+encoded as it is inside a text: the vocabulary's pattern finds it again as one piece.
 """
 
 from __future__ import annotations
 
-import base64
 import itertools
+import os
 from array import array
 
 import numpy as np
@@ -42,21 +43,19 @@ def _join(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
 
 
 class ByteBpe:
-    """Encodes texts with the vocabulary in ``json_path``; ``ranks_path`` holds it as ranks."""
+    """Encodes texts with the vocabulary in ``json_path``."""
 
-    def __init__(self, json_path: str, ranks_path: str, pattern: str):
-        import tiktoken
+    def __init__(self, json_path: str):
+        from tokenizers import Tokenizer
 
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self._words = tiktoken.Encoding(
-            "words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
-        )
-        self._json_path, self._library = json_path, None
+        self._library = Tokenizer.from_file(json_path)
         self._class_of = _classes()
         self._value_of = mix(np.arange(1, _PLAIN + 1, dtype=np.uint64))
         self._forget()
 
+    def _ids_of(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._library.encode_batch(texts, add_special_tokens=False)]
+
     def _cuts(self, text: str, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Places where a word or the stop between two texts begins, and the end of all."""
         kind = self._class_of[points]
@@ -95,8 +94,8 @@ class ByteBpe:
         new = np.flatnonzero(number < 0)
         if len(new):
             distinct, first = np.unique(keys[new], return_index=True)
-            for i in new[first].tolist():
-                encoded = self._words._encode_single_piece(text[begin[i] : end[i]])
+            met = new[first]
+            for encoded in self._ids_of([text[a:b] for a, b in zip(begin[met], end[met])]):
                 self._lengths.append(len(encoded))
                 self._ids.extend(encoded)
             self._insert(distinct, np.arange(self._count, self._count + len(distinct)))
@@ -169,27 +168,22 @@ class ByteBpe:
         shift = np.repeat(all_starts[number] - upto[:-1], lengths)
         ids = np.array(self._ids, np.uint32)[shift + np.arange(len(shift))]
         starts = upto[np.concatenate([[0], np.searchsorted(begin, ends)])]
-        if odd and self._library is None:
-            # Some 100 MB that most workers never need.
-            from tokenizers import Tokenizer
-
-            self._library = Tokenizer.from_file(self._json_path)
         if odd:
             pieces = [ids[a:b] for a, b in itertools.pairwise(starts.tolist())]
-            for i in odd:
-                encoded = self._library.encode(texts[i], add_special_tokens=False).ids
+            for i, encoded in zip(sorted(odd), self._ids_of([texts[i] for i in sorted(odd)])):
                 pieces[i] = np.array(encoded, np.uint32)
             ids = np.concatenate(pieces)
             starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         return ids, starts
 
 
-_loaded: dict[tuple, ByteBpe] = {}
+_loaded: dict[str, ByteBpe] = {}
 
 
-def load(json_path: str, ranks_path: str, pattern: str) -> ByteBpe:
+def load(json_path: str) -> ByteBpe:
     """One encoder per worker process."""
-    key = (json_path, ranks_path, pattern)
-    if key not in _loaded:
-        _loaded[key] = ByteBpe(*key)
-    return _loaded[key]
+    if json_path not in _loaded:
+        # Spark runs a worker on every core: threads of the library would only compete.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        _loaded[json_path] = ByteBpe(json_path)
+    return _loaded[json_path]

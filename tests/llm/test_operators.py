@@ -109,11 +109,30 @@ def test_overlaps_equal_brute_force_in_any_number_of_blocks(spark, tmp_path):
             spans = [(s.first, s.last) for s in r.hit_spans]
             assert (r.n_words, sum(b - a + 1 for a, b in spans), r.hit_items) == (n, hit, names)
             assert all(b + 1 < c for (_, b), (c, _) in zip(spans, spans[1:]))
-    kept = decontamination.drop_contaminated(left.withColumn("n_words", F.lit("own")), right)
+    kept = decontamination.drop_contaminated(left.withColumn("n_words", F.lit("own")), right, least_words=1)
     assert kept.columns == [*left.columns, "n_words"]
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if not r.hit_spans}
 
 
+def test_short_items_drop_no_documents(spark, tmp_path):
+    """Common words as items leave clean documents alone; ten words of an item do not."""
+    rng = random.Random(8)
+    long, nine = prose(rng, 14), prose(rng, 9)
+    docs = [(i, prose(rng, 30)) for i in range(30)]
+    docs += [(40, f"x {' '.join(long.split()[2:12])} y"), (41, f"x {nine} y"), (42, nine), (43, None), (44, "")]
+    left = table(spark, tmp_path, docs, "doc_id long, text string")
+    items = table(
+        spark, tmp_path, [(1, WORDS[0]), (2, " ".join(WORDS[1:3])), (3, nine), (4, long), (5, None)],
+        "item_id long, text string",
+    )
+    gone = lambda **o: {d for d, _ in docs} - {
+        r.doc_id for r in decontamination.drop_contaminated(left, items, **o).collect()
+    }
+    assert gone() == {40} and gone(least_words=9) == {40, 41, 42} and len(gone(least_words=1)) > 10
+    with pytest.raises(ValueError):
+        decontamination.drop_contaminated(left, items, least_words=11)
+
+
 def test_overlaps_with_nothing(spark, tmp_path):
     docs = table(spark, tmp_path, odd_docs(random.Random(3)), DOCS)
     items = table(spark, tmp_path, [(1, "a b c")], "item_id long, text string")
@@ -162,8 +181,8 @@ def test_tokens_equal_those_of_the_library():
     parts = ["'", "s", "t", "re", "ll", "d", " ", "  ", "\n", "a", "1", "!", ".", "é", " ", "\r", "中", "<|endoftext|>"]
     texts = ["", "it's we're 'x''s !'s  's", "a  b\n\n c \n", "x’s", "\0", "I'VE 've"]
     texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(1500)]
-    library = Tokenizer.from_file(packing.public_vocabulary()[0])
-    encoder = tokens.load(*packing.public_vocabulary())
+    library = Tokenizer.from_file(packing.public_vocabulary())
+    encoder = tokens.load(packing.public_vocabulary())
     ids, at = encoder.encode(texts)
     for i, text in enumerate(texts):
         assert ids[at[i] : at[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
@@ -188,7 +207,7 @@ def test_packing_holds_every_id_once(spark, tmp_path):
     docs = table(spark, tmp_path, rows, DOCS)
     pieces = packing.cut_documents(docs.withColumn("start", F.lit("own")))
     packed = packing.pack(pieces).collect()
-    library = Tokenizer.from_file(packing.public_vocabulary()[0])
+    library = Tokenizer.from_file(packing.public_vocabulary())
     wanted, found = Counter(), Counter()
     for r in rows:
         ids = library.encode(r[1] or "", add_special_tokens=False).ids + [1]
@@ -217,6 +236,9 @@ def test_packing_holds_every_id_once(spark, tmp_path):
     single = {k: v for k, v in wanted.items()}
     assert sum(found.values()) == sum(single.values()) and set(found) <= set(single)
     assert packing.packed_documents(docs.limit(0)).count() == 0
+    whole = packing.packed_documents(docs).collect()
+    assert all(zlib.crc32(bytes(p.ids)) == p.ids_crc32 and len(p.ids) == 4 * p.length for p in whole)
+    assert "ids" not in packing.packed_documents(docs, with_ids=False).columns
     with pytest.raises(Exception, match="a piece must have"):
         packing.pack(spark.range(1).withColumn("length", F.lit(4000))).count()
 
