@@ -9,6 +9,7 @@ whole and never shuffled; the list of notices is given in the call, not derived
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -96,32 +97,50 @@ class Scanner:
                     found.append((notice, at + 1, at + 1 + size, 0))
                     at = text.find(whole, at + 1)
                 continue
-            windows = set()
+            begins = set()
             for place, part in parts:
                 at = text.find(part)
                 while at >= 0:
-                    windows.add(at - place)
+                    begins.add(at - place)
                     at = text.find(part, at + 1)
             matched = set()
-            upto = -1
-            for begin in sorted(windows):
+            for first, last in _close(sorted(begins), k):
                 # Edits before the seed move the begin by at most k, edits behind it the end.
-                a, b = max(0, begin - k - 1), min(len(text), begin + size + 2 * k + 1)
-                if b <= upto:
-                    continue
+                a, b = max(0, first - k - 1), min(len(text), last + size + 2 * k + 1)
                 for m in pattern.finditer(text, a, b, overlapped=False):
                     matched.add((m.start(), m.end(), sum(m.fuzzy_counts)))
             found += [(notice, s, e, n) for s, e, n in _best(matched)]
         return found
 
 
+def _close(begins: list[int], k: int) -> list[tuple[int, int]]:
+    """(first, last) of begins that at most ``k`` edits tell apart: seeds of one place."""
+    groups: list[tuple[int, int]] = []
+    for begin in begins:
+        if groups and begin - groups[-1][0] <= k:
+            groups[-1] = (groups[-1][0], begin)
+        else:
+            groups.append((begin, begin))
+    return groups
+
+
 def _best(matches: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Of overlapping matches the one with fewest errors, then the first."""
+    """Of overlapping matches the one with fewest errors, then the first.
+
+    One sweep for each number of errors: what is kept is sorted and without overlaps, so a match
+    is compared with its neighbours alone.
+    """
     kept: list[tuple[int, int, int]] = []
-    for s, e, n in sorted(matches, key=lambda m: (m[2], m[0], m[1])):
-        if all(e <= a or b <= s for a, b, _ in kept):
-            kept.append((s, e, n))
-    return sorted(kept)
+    for errors in sorted({m[2] for m in matches}):
+        starts, ends = [m[0] for m in kept], [m[1] for m in kept]
+        added, upto = [], 0
+        for s, e, n in sorted(m for m in matches if m[2] == errors):
+            behind = bisect_right(ends, s)  # the first kept match that ends after this one begins
+            if s >= upto and (behind == len(kept) or e <= starts[behind]):
+                added.append((s, e, n))
+                upto = e
+        kept = sorted(kept + added)
+    return kept
 
 
 def _scan(notices: Sequence[Notice], text: str, names: list[str]):
@@ -137,8 +156,11 @@ def _scan(notices: Sequence[Notice], text: str, names: list[str]):
                 whole = normal.tobytes()
                 for i in range(hi - lo):
                     one = whole[cuts[i] : cuts[i + 1] + 1]
-                    for notice, s, e, errors in scanner.places(one):
-                        first = one.count(b" ", 1, s + 1) if s else 0
+                    places = scanner.places(one)
+                    spaces = np.flatnonzero(normal[cuts[i] : cuts[i + 1] + 1] == 32) if places else None
+                    for notice, s, e, errors in places:
+                        # A word follows each space, and the text begins with one.
+                        first = max(0, int(np.searchsorted(spaces, s, side="right")) - 1)
                         last = first + max(1, len(one[s:e].split())) - 1
                         found[lo + i].append({
                             "label": notice.label, "phrase": notice.phrase,
@@ -180,9 +202,11 @@ def scan_notices(
     too; of overlapping places of one fuzzy notice the one with fewest edits is listed.
 
     Null and empty texts have no words and no notices. Texts of any length are read whole, and
-    repeated rows are judged one by one. Input columns named like a new one are replaced.
+    repeated rows are judged one by one. Input columns named like a new one are replaced; the name
+    of the text column may be written in any case. The time for a text grows as its length.
     """
     kept = spare(docs, ("n_words", "notices"))
+    text = next(c for c in kept if c.lower() == text.lower())
     schema = T.StructType([f for f in docs.schema.fields if f.name in kept])
     schema = schema.add("n_words", "long").add("notices", T.ArrayType(_SPAN))
     run = _scan(tuple(notices), text, schema.names)
