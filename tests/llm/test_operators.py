@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -382,7 +383,7 @@ def brute_url(url, rules):
         r for r in rules
         if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])
     ]
-    return max(fits, key=lambda r: (len(r[1].split(".")), len(r[2]), r[0] == "block"), default=None)
+    return max(fits, key=lambda r: (len(r[1] + r[2]), len(r[1]), r[0] == "block"), default=None)
 
 
 def test_urls_equal_brute_force_in_any_number_of_blocks(spark, tmp_path):
@@ -390,12 +391,17 @@ def test_urls_equal_brute_force_in_any_number_of_blocks(spark, tmp_path):
     hosts = ["net", "a.net", "b.a.net", "org", "x.org", "net.org", "A.Net", ""]
     paths = ["", "/", "/en", "/en/", "/en/x", "/english", "/en/x/y?q=/fr/", "#a", "/de//x"]
     rules = [("block", "net", "/"), ("allow", "a.net", "/en/"), ("block", "a.net", "/en/x"), ("allow", "org", "/e"),
-             ("block", "org", "/en"), ("allow", "x.org", ""), ("block", "b.a.net", "/"), ("allow", "b.a.net", "/")]
+             ("block", "org", "/en"), ("allow", "x.org", ""), ("block", "b.a.net", "/"), ("allow", "b.a.net", "/"),
+             # The host with more labels is not the longer rule here, and ties go to the longer host.
+             ("allow", "net", "/en/x/y"), ("allow", "net", "/de//x"), ("block", "a.net", "/de/")]
     addresses = [f"http://{h}{p}" for h in hosts for p in paths] + [None, "", "no scheme", "://", "x" * 4000]
     rows = [(i, u, "own") for i, u in enumerate(addresses + addresses[:3])]
     pages = table(spark, tmp_path, rows, "page_id long, url string, verdict string")
-    for size in (200_000, 3):
-        for r in urls.judge_urls(pages, rules, block_rules=size).collect():
+    listed = spark.createDataFrame(rules, "action string, host string, path string")
+    for given, size in ((rules, 200_000), (rules, 3), (listed, 200_000), (listed, 4)):
+        judged = urls.judge_urls(pages, given, "URL", block_rules=size).collect()
+        assert sorted((r.page_id, r.url or "") for r in judged) == sorted((r[0], r[1] or "") for r in rows)
+        for r in judged:
             best = brute_url(r.url, rules)
             assert (r.rule, r.verdict) == ((best[1] + best[2], best[0]) if best else (None, "allow")), r
     assert urls.judge_urls(pages, []).where("verdict = 'allow' and rule is null").count() == len(rows)
@@ -404,6 +410,16 @@ def test_urls_equal_brute_force_in_any_number_of_blocks(spark, tmp_path):
         urls.judge_urls(pages, [("maybe", "a", "/")])
 
 
+def test_many_rules_of_one_host_are_not_searched_one_by_one():
+    rules = [("block", "a.net", f"/p{i}/x{i % 1000}") for i in range(200_000)]
+    trie = urls.Trie([*rules, *(("allow", "a.net", f"/{i:x}") for i in range(200_000))])
+    began = time.process_time()
+    for i in range(10_000):
+        assert trie.longest("www.a.net", f"/p{i}/x{i % 1000}/more")[2] == f"/p{i}/x{i % 1000}"
+        assert trie.longest("a.net", f"/{i:x}zzz")[2] == f"/{i:x}"
+    assert (time.process_time() - began) / 20_000 < 0.0001
+
+
 # Conversations
 
 def test_chat_round_trip_and_order(spark, tmp_path):
@@ -536,6 +552,36 @@ def test_exact_notices_equal_brute_force_and_fuzzy_ones_are_found(spark, tmp_pat
     assert licenses.scan_notices(docs.limit(0)).count() == 0
 
 
+def test_long_repetitive_texts_take_time_in_proportion():
+    """Hundreds of kilobytes of one notice: every copy is found, in seconds."""
+    scanner = licenses.Scanner(licenses.FUZZY)
+    one = b"permission is hereby granted free of charge to any person "
+    for text, label in ((one * 12_000, "mit"), (b"all rights reserved " * 20_000, "reserved")):
+        began = time.process_time()
+        places = scanner.places(b" " + text)
+        assert time.process_time() - began < 30
+        found = [(s, e, n) for notice, s, e, n in places if notice.label == label]
+        assert len(found) == text.count(b" ") // label_words[label] and {n for _, _, n in found} == {0}
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
+label_words = {"mit": 10, "reserved": 3}
+
+
+def test_best_of_overlapping_matches():
+    rng = random.Random(15)
+    for _ in range(300):
+        matches = set()
+        for _ in range(rng.randint(0, 30)):
+            s = rng.randint(0, 60)
+            matches.add((s, s + rng.randint(1, 12), rng.randint(0, 3)))
+        kept = []
+        for m in sorted(matches, key=lambda m: (m[2], m[0], m[1])):
+            if all(m[1] <= a or b <= m[0] for a, b, _ in kept):
+                kept.append(m)
+        assert licenses._best(matches) == sorted(kept)
+
+
 def test_seeds_make_up_the_phrase():
     for n in licenses.FUZZY:
         parts = licenses.seeds(n)
