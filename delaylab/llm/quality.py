@@ -2,10 +2,11 @@
 
 The statistics are array expressions. The list is learned by sequential covering: a rule is grown
 term by term on one part of the labelled documents, each term the threshold that gains most, then
-pruned on the other part; the documents it covers are set aside and the next rule is grown. Every
-labelled document is counted: they are grouped by the quantile bins of their statistics and their
-label, so the learner on the driver sees one row per occupied cell, whose number is bounded by
-the bins and not by the documents. The list is applied as one ordered conditional expression.
+pruned on the other part; the documents it covers are set aside and the next rule is grown, as long
+as a rule shortens the description of the labels. Every labelled document is counted, in bins
+between quantiles of the measures, and each step is one aggregate over these counts: the driver
+sees a row for each measure and bin, never the documents. The list is applied as one ordered
+conditional expression.
 """
 
 from __future__ import annotations
@@ -20,10 +21,25 @@ from delaylab.llm.textbytes import spare
 from delaylab.llm.scratch import stored as materialize
 
 WINDOW = 8
-#: Bins of a statistic; a threshold lies between two of them.
-BINS = 6
-#: Longest list, longest rule, documents a rule must cover, and its share of bad ones.
-MOST_RULES, MOST_TERMS, LEAST_COVER, LEAST_PRECISION = 8, 3, 10, 0.95
+
+
+@dataclass(frozen=True)
+class Learning:
+    """Parameters of the learner. Neither the length of the list nor that of a rule is limited."""
+
+    #: Least share of bad documents among those that a rule covers, in both parts.
+    least_precision: float = 0.95
+    #: Bits that a rule must save in describing the labels, its own description taken off.
+    least_saving: float = 4.0
+    #: First terms that are tried, best first, before the list ends for want of a rule.
+    first_terms: int = 8
+    #: Quantiles of the bad and of the good documents that thresholds are put at.
+    shares: tuple[float, ...] = (
+        0.001, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99, 0.995, 0.999,
+    )
+    #: Rows in this number that set the accuracy of the quantiles.
+    accuracy: int = 10_000
+
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_bangs", "n_lines")
@@ -148,99 +164,145 @@ def verdict(rules: list[Rule]) -> Column:
     return F.lit(True) if answer is None else answer.otherwise(True)
 
 
-def learn(labelled: DataFrame, label: str = "quality", key: str = "doc_id") -> list[Rule]:
+class _Cells:
+    """Labelled documents counted by label, part and the bin of every measure."""
+
+    def __init__(self, counts: DataFrame, limits: dict[str, list[float]]):
+        self.counts, self.limits = counts, limits
+
+    @staticmethod
+    def meets(terms: tuple[Term, ...]) -> Column:
+        """Whether a cell meets every term."""
+        meets = F.lit(True)
+        for t in terms:
+            meets = meets & (F.col(t.measure) > t.bin if t.above else F.col(t.measure) <= t.bin)
+        return meets
+
+    def without(self, rule: Rule) -> _Cells:
+        return _Cells(self.counts.where(~self.meets(rule.terms)), self.limits)
+
+    def candidates(self, terms: tuple[Term, ...]) -> tuple[int, int, list[tuple[float, Term, int, int]]]:
+        """Bad and good growing documents that meet ``terms``, and what each further term gains.
+
+        A candidate is (gain, term, bad, good); the gain is the information about the bad documents
+        that stay covered. Best first.
+        """
+        names = list(self.limits)
+        inside = self.counts.where(~F.col("prune")).where(self.meets(terms))
+        each = inside.select("bad", "n", F.posexplode(F.array(*names)).alias("k", "b"))
+        rows = each.groupBy("k", "b").agg(
+            F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad"),
+            F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("good"),
+        ).collect()
+        totals = {(r.k, r.b): (r.bad, r.good) for r in rows}
+        bad, good = (sum(v[i] for (k, _), v in totals.items() if k == 0) for i in (0, 1))
+        found = []
+        if bad:
+            before = math.log2(bad / (bad + good))
+            for k, m in enumerate(names):
+                low_bad = low_good = 0
+                for b, limit in enumerate(self.limits[m]):
+                    x, y = totals.get((k, b), (0, 0))
+                    low_bad, low_good = low_bad + x, low_good + y
+                    for above, p, q in ((True, bad - low_bad, good - low_good), (False, low_bad, low_good)):
+                        if p:
+                            gain = p * (math.log2(p / (p + q)) - before)
+                            found.append((gain, Term(m, above, limit, b), p, q))
+        found.sort(key=lambda c: (-c[0], c[1].measure, c[1].above, c[1].bin))
+        return bad, good, [c for c in found if c[0] > 1e-9]
+
+    def tallies(self, rules: list[tuple[Term, ...]]) -> list[tuple[int, int, int, int]]:
+        """(bad, good) of the growing and (bad, good) of the pruning part, for each conjunction."""
+        sums = []
+        for i, terms in enumerate(rules):
+            for part in (False, True):
+                for bad in (True, False):
+                    wanted = self.meets(terms) & (F.col("prune") == part) & (F.col("bad") == bad)
+                    sums.append(F.coalesce(F.sum(F.when(wanted, F.col("n"))), F.lit(0)).alias(f"{i}{part}{bad}"))
+        row = self.counts.agg(*sums).first()
+        return [tuple(row[4 * i : 4 * i + 4]) for i in range(len(rules))]
+
+
+def _choices(n: int, k: int) -> float:
+    """Bits that tell which k of n are meant."""
+    return (math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)) / math.log(2)
+
+
+def _saving(rule_bits: float, covered: tuple[int, int], all_: tuple[int, int]) -> float:
+    """Bits saved by describing the labels of covered documents and of the others apart."""
+    (p, q), (bad, good) = covered, all_
+    before = _choices(bad + good, bad)
+    return before - _choices(p + q, q) - _choices(bad + good - p - q, bad - p) - rule_bits
+
+
+def learn(
+    labelled: DataFrame, label: str = "quality", key: str = "doc_id", settings: Learning = Learning()
+) -> list[Rule]:
     """Learns the list from rows with the statistics, a key and a label (0 bad, 1 good).
 
-    All labelled rows count; rows whose label is null or neither are left out. The hash of the
-    key decides whether a row grows or prunes rules. Without bad rows the list is empty.
+    All labelled rows count; rows whose label is null or neither are left out, rows with a null
+    measure too. The hash of the key decides whether a row grows or prunes rules. Without bad
+    rows, and without rows, the list is empty.
     """
     names = list(MEASURES)
     rows = labelled.where(F.col(label).isin(0, 1)).select(
         (F.col(label) == 0).alias("bad"),
         (F.pmod(F.xxhash64(key), F.lit(3)) == 0).alias("prune"),
         *(MEASURES[m]().cast("double").alias(m) for m in names),
-    )
+    ).dropna()
     rows = materialize(rows, "labelled-statistics")
     # Thresholds from the good and the bad rows alike, so that a rare kind has its own.
-    shares = [(i + 1) / BINS for i in range(BINS - 1)]
     found = rows.groupBy("bad").agg(*(
-        F.percentile_approx(m, shares, 1000).alias(m) for m in names
+        F.percentile_approx(m, list(settings.shares), settings.accuracy).alias(m) for m in names
     )).collect()
-    limits = {}
-    for m in names:
-        points = sorted({float(x) for r in found for x in (r[m] or [])})
-        limits[m] = points
+    limits = {m: sorted({float(x) for r in found for x in (r[m] or [])}) for m in names}
     binned = [
         sum((F.when(F.col(m) > x, 1).otherwise(0) for x in limits[m]), F.lit(0)).alias(m)
         for m in names
     ]
-    cells = rows.select("bad", "prune", *binned).groupBy("bad", "prune", *names).count().collect()
-    cells = [(tuple(r[m] for m in names), r.bad, r.prune, r["count"]) for r in cells]
+    counts = rows.select("bad", "prune", *binned).groupBy("bad", "prune", *names).agg(F.count("*").alias("n"))
+    cells = _Cells(materialize(counts, "label-cells"), limits)
     rules: list[Rule] = []
-    while len(rules) < MOST_RULES:
-        rule = _next_rule(cells, names, limits)
-        if rule is None:
-            break
+    while rule := _next_rule(cells, settings):
         rules.append(rule)
-        cells = [c for c in cells if not _meets(c[0], rule.terms, names)]
+        cells = cells.without(rule)
     return rules
 
 
-def _meets(bins: tuple, terms: tuple[Term, ...], names: list[str]) -> bool:
-    return all((bins[names.index(t.measure)] > t.bin) == t.above for t in terms)
-
-
-def _tally(cells: list, terms: tuple[Term, ...], names: list[str], prune: bool) -> tuple[int, int]:
-    bad = good = 0
-    for bins, is_bad, part, n in cells:
-        if part == prune and _meets(bins, terms, names):
-            bad, good = (bad + n, good) if is_bad else (bad, good + n)
-    return bad, good
-
-
-def _next_rule(cells: list, names: list[str], limits: dict[str, list[float]]) -> Rule | None:
-    terms: tuple[Term, ...] = ()
-    bad, good = _tally(cells, terms, names, False)
-    if bad == 0:
-        return None
-    inside = [c for c in cells if not c[2]]
-    while good and len(terms) < MOST_TERMS:
-        # Information gained about the bad documents that stay covered.
-        totals: dict[tuple[int, int], list[int]] = {}
-        for bins, is_bad, _, n in inside:
-            for k, b in enumerate(bins):
-                totals.setdefault((k, b), [0, 0])[0 if is_bad else 1] += n
-        before = math.log2(bad / (bad + good))
-        best = None
-        for k, m in enumerate(names):
-            low_bad = low_good = 0
-            for b, limit in enumerate(limits[m]):
-                x, y = totals.get((k, b), (0, 0))
-                low_bad, low_good = low_bad + x, low_good + y
-                for above, p, q in ((True, bad - low_bad, good - low_good), (False, low_bad, low_good)):
-                    if p >= LEAST_COVER:
-                        gain = p * (math.log2(p / (p + q)) - before)
-                        if best is None or gain > best[0]:
-                            best = (gain, Term(m, above, limit, b), p, q)
-        if best is None or best[0] <= 1e-9:
-            break
-        terms += (best[1],)
-        bad, good = best[2], best[3]
-        inside = [c for c in inside if _meets(c[0], (best[1],), names)]
-    # Drop final terms while the other part of the documents does not get worse by it.
-    def worth(t: tuple[Term, ...]) -> tuple[float, int]:
-        p, q = _tally(cells, t, names, True)
-        return (p - q) / max(p + q, 1), -len(t)
-
-    while len(terms) > 1 and worth(terms[:-1]) >= worth(terms):
-        terms = terms[:-1]
-    if not terms:
-        return None
-    p, q = _tally(cells, terms, names, True)
-    grown = _tally(cells, terms, names, False)
-    if (p + grown[0]) < LEAST_PRECISION * (p + q + sum(grown)) or (p + q and p < LEAST_PRECISION * (p + q)):
-        return None
-    return Rule(terms, p, q)
+def _next_rule(cells: _Cells, settings: Learning) -> Rule | None:
+    """The next rule: grown from the best first term, or from one of the next if that fails."""
+    bad, good, firsts = cells.candidates(())
+    for _, first, p, q in firsts[: settings.first_terms] if bad else []:
+        terms = (first,)
+        while q:
+            _, _, more = cells.candidates(terms)
+            if not more:
+                break
+            _, term, p, q = more[0]
+            terms += (term,)
+        prefixes = [terms[:n] for n in range(len(terms), 0, -1)]
+        (all_p, all_q, all_p2, all_q2), *tallies = cells.tallies([(), *prefixes])
+
+        def worth(tally: tuple[int, int, int, int]) -> float:
+            return (tally[2] - tally[3]) / max(tally[2] + tally[3], 1)
+
+        # Drop final terms while the other part of the documents does not get worse by it.
+        at = 0
+        while at + 1 < len(prefixes) and worth(tallies[at + 1]) >= worth(tallies[at]):
+            at += 1
+        p, q, p2, q2 = tallies[at]
+        precise = min(p / max(p + q, 1), p2 / (p2 + q2) if p2 + q2 else 1.0) >= settings.least_precision
+        # A term names a measure, a side and a threshold; terms may come in any order.
+        choices = 2 * sum(len(x) for x in cells.limits.values())
+        bits = len(prefixes[at]) * math.log2(choices) - _log2_factorial(len(prefixes[at]))
+        saved = _saving(bits, (p + p2, q + q2), (all_p + all_p2, all_q + all_q2))
+        if precise and saved >= settings.least_saving:
+            return Rule(prefixes[at], p2, q2)
+    return None
+
+
+def _log2_factorial(n: int) -> float:
+    return math.lgamma(n + 1) / math.log(2)
 
 
 def base_failed() -> Column:
@@ -267,8 +329,9 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     # Statistics are formed once, and are narrow; labels join them, not the texts.
     stored = materialize(text_statistics(docs).drop("text"), "statistics")
-    rules = learn(stored.join(labels, "doc_id"))
     failed = base_failed()
+    # What fails the fixed rule goes anyway and must not shape the learned ones.
+    rules = learn(stored.where(~failed).join(labels, "doc_id"))
     return stored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & verdict(rules)).alias("kept"),

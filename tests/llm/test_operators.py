@@ -364,6 +364,27 @@ def test_learned_list_finds_a_planted_rule(spark, tmp_path):
     assert quality.learn(labelled.where("quality = 1")) == [] and quality.learn(labelled.limit(0)) == []
 
 
+def test_a_rare_kind_is_learned_and_noise_is_not(spark, tmp_path):
+    """A few bad rows in the tail of one measure make a rule; labels drawn at random make none."""
+    rng = random.Random(10)
+
+    def row(i, symbols, label):
+        return (i, 100, 500, symbols, 0, 0, rng.randint(0, 9), rng.randint(0, 9), 5, label)
+
+    rows = [row(i, rng.randint(0, 20), 1 if rng.random() > 0.02 else 0) for i in range(3000)]
+    rows += [row(5000 + i, rng.randint(60, 90), 0) for i in range(14)]
+    names = "doc_id long, " + ", ".join(f"{c} long" for c in quality._STATISTICS) + ", quality int"
+    labelled = table(spark, tmp_path, rows, names)
+    rules = quality.learn(labelled)
+    assert len(rules) == 1 and rules[0].terms[0].measure == "symbol_share" and rules[0].terms[0].above
+    covered = labelled.where(~quality.verdict(rules))
+    assert covered.where("doc_id >= 5000").count() == 14 and covered.count() <= 16
+    strict = quality.Learning(least_saving=1e6)
+    assert quality.learn(labelled, settings=strict) == []
+    noise = labelled.withColumn("quality", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))).cast("int"))
+    assert quality.learn(noise) == []
+
+
 def test_op6_keeps_good_documents(spark, sf_dir):
     path = sf_dir.replace("0.001", "0.01")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{path}/labels.parquet").collect()}
