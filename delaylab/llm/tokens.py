@@ -2,8 +2,8 @@
 
 All ids come from the ``tokenizers`` library. It spends its time on cutting texts into words and on
 words it has met before; here texts are cut with array operations on their code points, and the
-library encodes each distinct word of a worker (told by a 64-bit hash) once. A word by itself is
-encoded as it is inside a text: the vocabulary's pattern finds it again as one piece.
+library's model encodes each distinct word of a worker (told by a 64-bit hash) once, in the
+byte-level spelling that its own cutter hands it.
 """
 
 from __future__ import annotations
@@ -22,11 +22,18 @@ _PLAIN = 0x2000
 _OTHER, _LETTER, _NUMBER, _SPACE, _STOP = range(5)
 #: Endings that the vocabulary splits off after an apostrophe.
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-#: Words a worker remembers before it starts afresh.
-_REMEMBERED = 300_000
+#: Words a worker remembers before it starts afresh (some 100 bytes each).
+_REMEMBERED = 1_000_000
 _SPECIAL = "<|endoftext|>"
 
 
+def _spelling() -> dict[int, str]:
+    """A printable character for every byte: itself where it has one, else the next above 255."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 def _classes() -> np.ndarray:
     table = np.full(_PLAIN, _OTHER, np.uint8)
     for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_SPACE, r"\s")):
@@ -49,12 +56,14 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(json_path)
+        self._model, self._letters = self._library.model, _spelling()
         self._class_of = _classes()
         self._value_of = mix(np.arange(1, _PLAIN + 1, dtype=np.uint64))
         self._forget()
 
-    def _ids_of(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._library.encode_batch(texts, add_special_tokens=False)]
+    def _word_ids(self, word: str) -> list[int]:
+        spelled = word.encode().decode("latin-1").translate(self._letters)
+        return [token.id for token in self._model.tokenize(spelled)]
 
     def _cuts(self, text: str, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Places where a word or the stop between two texts begins, and the end of all."""
@@ -95,7 +104,8 @@ class ByteBpe:
         if len(new):
             distinct, first = np.unique(keys[new], return_index=True)
             met = new[first]
-            for encoded in self._ids_of([text[a:b] for a, b in zip(begin[met], end[met])]):
+            for a, b in zip(begin[met].tolist(), end[met].tolist()):
+                encoded = self._word_ids(text[a:b])
                 self._lengths.append(len(encoded))
                 self._ids.extend(encoded)
             self._insert(distinct, np.arange(self._count, self._count + len(distinct)))
@@ -170,8 +180,9 @@ class ByteBpe:
         starts = upto[np.concatenate([[0], np.searchsorted(begin, ends)])]
         if odd:
             pieces = [ids[a:b] for a, b in itertools.pairwise(starts.tolist())]
-            for i, encoded in zip(sorted(odd), self._ids_of([texts[i] for i in sorted(odd)])):
-                pieces[i] = np.array(encoded, np.uint32)
+            whole = self._library.encode_batch([texts[i] for i in sorted(odd)], add_special_tokens=False)
+            for i, encoded in zip(sorted(odd), whole):
+                pieces[i] = np.array(encoded.ids, np.uint32)
             ids = np.concatenate(pieces)
             starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         return ids, starts
