@@ -1,8 +1,10 @@
+import math
 import random
 import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +175,110 @@ def test_language_evidence_and_odd_rows(spark, tmp_path, sf_dir):
     assert language.keep_identified(docs).columns == docs.columns
 
 
+def brute_languages(rows, names=language.LANGUAGES):
+    """Posteriors of (text, lang, host) rows from the definitions, one row at a time."""
+    def grams(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        return language._bins(data, np.array([0, len(data)]))[: max(0, len(data) - 2)]
+
+    counts = np.zeros((len(names), language.BINS))
+    for text, lang, _ in rows:
+        if lang in names:
+            np.add.at(counts[names.index(lang)], grams(text), 1)
+
+    def likelihoods(text, lang):
+        found = []
+        for k, name in enumerate(names):
+            own = counts[k].copy()
+            if name == lang:
+                np.add.at(own, grams(text), -1)
+            found.append(np.log((own + 0.5) / (own + 0.5).sum())[grams(text)].sum())
+        return np.array([*found, len(grams(text)) * math.log(1 / language.BINS)])
+
+    classes = [*names, "und"]
+    said = lambda lang: "none" if lang is None else lang if lang in names else "other"
+    suffix = lambda host: host.rsplit(".", 1)[1] if host and "." in host else None
+    scores = [likelihoods(t, lang) for t, lang, _ in rows]
+    best = [int(np.argmax(x)) if len(grams(r[0])) else None for x, r in zip(scores, rows)]
+    share = lambda pick: np.array([sum(b == k and pick(r) for b, r in zip(best, rows)) for k in range(len(classes))])
+    smooth = lambda n, above, pull: (n + pull * above) / (n.sum() + pull)
+    overall = smooth(share(lambda r: True), np.full(len(classes), 1 / len(classes)), language.EVEN_PULL)
+    found = []
+    for i, (text, lang, host) in enumerate(rows):
+        above = smooth(share(lambda r: suffix(r[2]) == suffix(host)), overall, language.SUFFIX_PULL)
+        here = share(lambda r: (r[2] or "") == (host or "")).astype(float)
+        if best[i] is not None:
+            here[best[i]] -= 1
+        prior = smooth(here, above, language.HOST_PULL)
+        voice = [
+            (sum(b == k and said(r[1]) == said(lang) for b, r in zip(best, rows)) + 1)
+            / (sum(b == k for b in best) + len(names) + 2) for k in range(len(classes))
+        ]
+        points = scores[i] * language.TEXT_WEIGHT + np.log(voice) + np.log(prior)
+        chance = np.exp(points - points.max())
+        found.append((classes[int(np.argmax(points))], float(chance.max() / chance.sum())))
+    return found
+
+
+def evidence_rows():
+    """Rows of several languages, and short texts that one kind of evidence alone can decide."""
+    says = {"de": "der und die zu den das ist nicht", "fr": "le la et les des une est pas",
+            "en": "the of and to in that is was", "es": "el los las que con por una del"}
+    rng = random.Random(3)
+    prose_of = lambda c, n: " ".join(rng.choice(says[c].split()) for _ in range(n))
+    rows = []
+    for i in range(160):
+        lang = "de fr en es".split()[i % 4]
+        rows.append((prose_of(lang, 12), lang if i % 3 else None, f"h{i % 7}.{'example' if i % 2 else 'net'}"))
+    rows += [(prose_of("de", 12), "de", f"s{i}.de") for i in range(60)]  # a suffix of one language
+    rows += [(prose_of("es", 12), "es", "solo.example") for _ in range(60)]  # a host of one language
+    rows += [(prose_of("fr", 9), "fr", None) for _ in range(20)] + [(prose_of("en", 9), None, "") for _ in range(20)]
+    short = [("qzx", None, "new.de"), ("qzx", None, "solo.example"), ("qzx", "fr", "h1.example"), ("qzx", "xx", None)]
+    return rows, short, [(None, None, None), ("", "de", "s1.de"), ("ab", None, "h1.net"), ("qzx", None, None)]
+
+
+@pytest.mark.parametrize("hosts", [200_000, 0])
+def test_every_kind_of_evidence_counts(spark, tmp_path, monkeypatch, hosts):
+    monkeypatch.setattr(language, "HOSTS", hosts)
+    rows, short, odd = evidence_rows()
+    every = rows + short + odd + rows[:3]
+    given = [(i, t, lang, h, "x") for i, (t, lang, h) in enumerate(every)]
+    docs = table(spark, tmp_path, given, "id long, TEXT string, Lang string, host string, language string")
+    host = F.col("host")
+    got = language.identify(docs, "text", "lang", F.col("lang"), host, language.address_suffix(host))
+    got = {r.id: r for r in got.select("doc.id", "language", "confidence", "kept").collect()}
+    assert len(got) == len(every)
+    for i, (name, confidence) in enumerate(brute_languages(every)):
+        assert got[i].language == name and got[i].confidence == pytest.approx(confidence, rel=1e-6), every[i]
+    at = len(rows)
+    # Suffix alone, host alone and declaration alone tell short texts apart.
+    assert [got[at + k].language for k in range(3)] == ["de", "es", "fr"]
+    assert not got[at + 4].kept and not got[at + 5].kept
+
+
+def test_pages_bring_their_evidence(spark, tmp_path):
+    rows, _, _ = evidence_rows()
+    docs = table(spark, tmp_path, [(i, t, lang, h) for i, (t, lang, h) in enumerate(rows[:80])] + [(900, "qzx", None, "new.de")],
+                 "doc_id long, text string, lang string, source string")
+    html = "<html lang='{}-AT'><script>the of and</script><p>{}</p></html>"
+    pages = table(
+        spark, tmp_path, [(i, f"http://u@{h}:80/x", html.format(lang, t)) for i, (t, lang, h) in enumerate(rows[160:220])],
+        "page_id long, url string, html string",
+    )
+    every = language.identify_corpus(language.corpus_rows(docs, pages)).select("doc.*", "language").collect()
+    assert {r.language for r in every if r.page_id is not None} == {"de"}
+    assert {r.host for r in every if r.page_id == 0} == {"s0.de"}
+    alone = {r.doc.doc_id: r.language for r in language.identify_documents(docs).collect()}
+    both = {r.doc.doc_id: r.language for r in language.identify_documents(docs, pages).collect()}
+    # The suffix of an unknown host is known from the pages alone.
+    assert set(alone) == set(both) and both[900] == "de" != alone[900]
+    wide = docs.withColumns({"_page": F.lit("own"), "host": F.lit(1), "doc": F.lit(2), "a.b": F.lit(3)})
+    kept = language.keep_identified(wide, pages)
+    assert kept.columns == wide.columns and {r["_page"] for r in kept.collect()} == {"own"}
+    assert language.identify_documents(docs.limit(0), pages).count() == 0
+    assert language.keep_identified(docs, pages.limit(0)).count() > 60
+
+
 # Tokens and packing
 
 def test_tokens_equal_those_of_the_library():
