@@ -17,10 +17,16 @@ whose shingle stands nearest to the front: it has fewest shingles of its own, so
 to the middle of a group of copies; later pivots are drawn by a hash. Classes within the radius of
 their pivot are linked, and join its component; what links a component needs no further pairs
 inside it, so a group of copies costs one measurement per copy, not one per pair. Regions in which
-one component is left are done. When few pairs of different components are left, they are all
-measured, except those outside each other's windows and those that the triangle inequality
-excludes: by the distances of both to the same pivot, and by 128 coordinates, the distances of a set to the empty set within 128 parts of
-the shingle space. The sum of their differences is never more than what two sets differ by.
+one component is left are done.
+
+What is left is joined inside cells. A set has 128 coordinates, its distances to the empty set
+within 128 parts of the shingle space; the sum of their differences is a metric and never more
+than what two sets differ by. A region over the budget of a task takes several pivots. Each class
+goes to the cell of the nearest, and as a replica to every cell whose pivot is no further than that by
+twice the most that it may differ from a partner: by the triangle inequality a pair that can link meets in
+the cell of either. Cells over the budget take pivots of their own; one that pivots do not make smaller is cut
+into tiles, and each pair of tiles is a task's work. Inside, a task compares coordinates and gives out only
+the pairs that they, the sizes and the places of the shingle leave possible.
 
 Every measurement counts the true intersection; the order of the shingles, the number of rounds
 and the windows decide the cost alone.
@@ -51,6 +57,14 @@ PARTS = 128
 MAP_BITS = 26
 #: Pairs left per class, counted in every region they share, at which the rounds end.
 PAIRS_LEFT = 160
+#: Classes that a task joins inside a cell, pivots of a larger one, and levels of cells in cells.
+CELL, CELL_PIVOTS, CELL_LEVELS = 512, 16, 4
+#: Cells of so few classes are joined by an ordinary join: at most half as many pairs as this a class.
+FEW = 32
+#: A cell that keeps more than this share of what was divided is cut into tiles instead.
+STALLED = 0.8
+#: Classes with more than this share of all documents; their component is broadcast.
+HOT_SHARE = 0.001
 
 
 class Sets:
@@ -202,20 +216,24 @@ def _wanted(shared, k: int):
     return run
 
 
+def _points(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
+
+
+def _allowed(n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Most elements that two sets of these sizes may differ by if they link."""
+    # inter >= percent/100 * union, and union + inter = n_a + n_b.
+    return n_a + n_b - 2 * -(-(n_a + n_b) * percent // (100 + percent))
+
+
 def _near(percent: int):
     """Pairs that sizes and coordinates leave possible."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            points = [
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
-                for i in (4, 5)
-            ]
-            apart = np.abs(points[0] - points[1]).sum(axis=1)
-            # inter >= percent/100 * union, and union + inter = n_a + n_b.
-            least = -(-(n_a + n_b) * percent // (100 + percent))
-            keep = apart <= n_a + n_b - 2 * least
+            apart = np.abs(_points(batch.column(4)) - _points(batch.column(5))).sum(axis=1)
+            keep = apart <= _allowed(n_a, n_b, percent)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"]
             )
@@ -223,6 +241,65 @@ def _near(percent: int):
     return run
 
 
+_CELL_ROW = "cell long, class long, comp long, n long, at int, points binary, whole long"
+
+
+def _to_cells(percent: int):
+    """Each row to the cell of its nearest pivot, and to those within the window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points, n = _points(batch.column("points")), batch.column("n").to_numpy()
+            cell = batch.column("cell").to_numpy()
+            rows, into = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            # The pivots of a cell are read once for each run of its rows.
+            cuts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            for lo, hi in zip(cuts, [*cuts[1:], len(cell)]):
+                pivots = _points(batch.column("pivots")[lo].values)
+                far = np.stack([np.abs(points[lo:hi] - p).sum(axis=1) for p in pivots], axis=1)
+                reach = n[lo:hi] * (100 - percent) // percent
+                row, k = np.nonzero(far <= (far.min(axis=1) + 2 * reach)[:, None])
+                rows.append(row + lo)
+                into.append(mix((cell[row + lo] * 31 + k + 1).view(np.uint64)).view(np.int64))
+            taken = pa.array(np.concatenate(rows))
+            names = ["class", "comp", "n", "at", "points", "m"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(into)), *(batch.column(c).take(taken) for c in names)],
+                names=["cell", *names[:-1], "whole"],
+            )
+
+    return run
+
+
+def _inside(percent: int):
+    """(a, b): pairs of a cell, of different components, that may link."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        columns = [cell.column(c).to_numpy() for c in ("class", "comp", "n", "at", "side")]
+        columns.append(_points(cell.column("points")))
+        order = np.argsort(columns[2], kind="stable")
+        cls, comp, n, at, side, points = (x[order] for x in columns)
+        # Partners are no larger than this; they follow in the order of sizes.
+        upto = np.searchsorted(n, n * 100 // percent, side="right")
+        found_a, found_b = [], []
+        for i in range(len(cls)):
+            others = np.arange(i + 1, upto[i])
+            # Where two tiles meet, the rows of one tile have met by themselves.
+            others = others[(comp[others] != comp[i]) & ((side[others] == 0) | (side[others] != side[i]))]
+            reach = np.minimum(n[i] - at[i], n[others] - at[others]) * (100 + percent) >= (n[i] + n[others]) * percent
+            others = others[reach]
+            if len(others):
+                apart = np.abs(points[others] - points[i]).sum(axis=1)
+                others = others[apart <= _allowed(n[i], n[others], percent)]
+                found_a.append(np.full(len(others), cls[i]))
+                found_b.append(cls[others])
+        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
+        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
 def _measure(percent: int):
     """(a, b, common, total, linked) of pairs with both sets."""
 
@@ -289,10 +366,10 @@ class _Join:
 
         ``at`` is the shingle's place in the class.
         """
-        rows = self.frequent.collect()
-        values = np.array([r.shingle for r in rows], np.int64).view(np.uint64)
+        rows = self.frequent.toArrow()
+        values = rows["shingle"].to_numpy().view(np.uint64)
         order = np.argsort(values)
-        counts = np.array([r.n for r in rows], np.int64)
+        counts = rows["n"].to_numpy()
         shared = self.spark.sparkContext.broadcast((values[order], counts[order]))
         found = self.docs.select("text").mapInArrow(
             _prefixes(shared, self.k, self.percent),
@@ -331,6 +408,10 @@ class _Join:
             .mapInArrow(_near(self.percent), "a long, b long"),
             "near-pairs",
         )
+        return self.exact(near)
+
+    def exact(self, near: DataFrame) -> DataFrame:
+        """(a, b, distance, linked) of stored pairs, by their whole sets."""
         needed = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
         needed = materialize(needed, "needed")
         bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
@@ -444,26 +525,7 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
         links = new if links is None else links.unionByName(new)
         labels = materialize(connected(links), "labels")
     if left:
-        # All pairs that are left, less those that a common pivot's distances exclude.
-        radius = (100 - percent) / 100 + 1e-9
-        open_ = open_.drop("pivot")
-        if first is not None:
-            open_ = open_.join(first, "class", "left")
-        else:
-            open_ = open_.withColumn("pivot", F.lit(None).cast("long")).withColumn(
-                "distance", F.lit(None).cast("double"))
-        x, y = open_.alias("x"), open_.alias("y")
-        far = (F.col("x.pivot") == F.col("y.pivot")) & (
-            F.abs(F.col("x.distance") - F.col("y.distance")) > radius
-        )
-        pairs = x.join(
-            y,
-            (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") < F.col("y.class"))
-            & (F.col("x.comp") != F.col("y.comp"))
-            & _in_reach(percent)
-            & ~F.coalesce(far, F.lit(False)),
-        ).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-        found = join.measured(pairs, points)
+        found = join.exact(materialize(_cell_pairs(open_, points, percent), "cell-pairs"))
         new = found.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         labels = materialize(connected(new if links is None else links.unionByName(new)), "labels")
     if labels is None:
@@ -471,6 +533,71 @@ def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     return rows, labels
 
 
+def _cell_pairs(open_: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of different components in the open regions that may link."""
+    rows = open_.select(
+        F.col("shingle").alias("cell"), "class", "comp", F.col("n").cast("long").alias("n"),
+        F.col("at").cast("int").alias("at"),
+    ).join(points.select("class", "points"), "class").select(
+        "cell", "class", "comp", "n", "at", "points", F.lit(None).cast("long").alias("whole")
+    )
+    few, cells = [], []
+    for level in range(CELL_LEVELS + 1):
+        rows = materialize(rows, "cells")
+        sizes = rows.groupBy("cell").agg(
+            F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
+        ).where("lo <> hi").select("cell", "m")
+        sized = rows.join(materialize(sizes, "cell-sizes"), "cell")
+        few.append(sized.where(F.col("m") <= FEW))
+        whole = F.lit(0).cast("int").alias("side")
+        cells.append(sized.where((F.col("m") > FEW) & (F.col("m") <= CELL)).select("*", whole))
+        large = sized.where(F.col("m") > CELL)
+        # What pivots did not make smaller is cut into tiles.
+        stalled = F.lit(level == CELL_LEVELS) | F.coalesce(F.col("m") > STALLED * F.col("whole"), F.lit(False))
+        cells.append(_tiles(large.where(stalled)))
+        large = materialize(large.where(~stalled), "large-cells")
+        if large.isEmpty():
+            break
+        # About CELL_PIVOTS classes of each cell, drawn by a hash; one at least.
+        drawn = F.pmod(F.xxhash64("class", "cell", F.lit(level)), F.col("m")) < CELL_PIVOTS
+        chosen = large.groupBy("cell").agg(
+            F.collect_set(F.when(drawn, F.col("points"))).alias("drawn"), F.max("points").alias("one")
+        )
+        pivots = F.when(F.size("drawn") > 0, F.col("drawn")).otherwise(F.array("one"))
+        chosen = materialize(chosen.select("cell", pivots.alias("pivots")), "cell-pivots")
+        rows = large.join(chosen, "cell").drop("whole").mapInArrow(_to_cells(percent), _CELL_ROW)
+    x, y = (_union(few).alias(name) for name in ("x", "y"))
+    pairs = x.join(
+        y,
+        (F.col("x.cell") == F.col("y.cell")) & (F.col("x.class") < F.col("y.class"))
+        & (F.col("x.comp") != F.col("y.comp")) & _in_reach(percent),
+    ).select(
+        F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("x.n").alias("n_a"),
+        F.col("y.n").alias("n_b"), F.col("x.points").alias("points_a"), F.col("y.points").alias("points_b"),
+    )
+    names = ["cell", "class", "comp", "n", "at", "points", "side"]
+    inside = _union(cells).select(*names).groupBy("cell").applyInArrow(_inside(percent), "a long, b long")
+    return pairs.mapInArrow(_near(percent), "a long, b long").unionByName(inside).distinct()
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows of large cells as cells of two tiles each, so that every two rows meet in one of them."""
+    count = F.ceil(F.col("m") / CELL).cast("int")
+    mine = F.pmod(F.xxhash64("class"), count).cast("int")
+    dealt = rows.withColumn("_mine", mine).withColumn("_with", F.explode(F.sequence(F.lit(0), count - 1)))
+    low, high = F.least("_mine", "_with"), F.greatest("_mine", "_with")
+    side = F.when(low == high, 0).when(F.col("_mine") == low, 1).otherwise(2)
+    named = dealt.withColumns({"side": side.cast("int"), "_pair": F.xxhash64("cell", low, high)})
+    return named.withColumn("cell", F.col("_pair")).drop("_mine", "_with", "_pair")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"),
@@ -481,13 +608,13 @@ def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80
 ) -> DataFrame:
-    """(row, key, n_shingles, component) of every document.
+    """(row, key, n_shingles, component, first) of every document.
 
     Words are runs without white space, A-Z lowered; a document's set holds its distinct shingles
     of ``k`` words, or its whole word sequence if it has fewer. Two documents link if 100 times
     the intersection is at least ``percent`` times the union. ``component`` is the smallest key
-    that links reach, the document's own included; ``row`` numbers the rows of ``docs``, which
-    should come from files.
+    that links reach, the document's own included, and ``first`` the row that has it (the first of
+    several); ``row`` numbers the rows of ``docs``, which should come from files.
 
     Documents without words (null, empty, white space) have no shingles and link with nothing.
     Repeated rows and equal texts share a component. Null keys are ignored among others; a
@@ -498,18 +625,49 @@ def near_duplicates(
     return _grouped(_numbered(docs, key, text), k, percent)
 
 
+def _with_class(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``found``, one row per class; rows without a class get nulls.
+
+    The classes that more than a share of HOT_SHARE of all rows have are few, whatever the number of
+    rows, and are broadcast. Their rows are dealt out in the join with the others.
+    """
+    rest = [c for c in found.columns if c not in ("class", "copies")]
+    total = found.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    hot = F.col("copies") > HOT_SHARE * total
+    first = found.where(hot).select("class", F.struct(*rest).alias("_hot"))
+    joined = rows.join(F.broadcast(first), "class", "left")
+    open_ = F.col("_hot").isNull() & F.col("class").isNotNull()
+    key = F.when(open_, F.struct(F.lit(0).alias("of"), F.col("class").alias("k")))
+    spread = F.struct(F.lit(1).alias("of"), F.col("row").alias("k"))
+    later = found.where(~hot).select(
+        F.struct(F.lit(0).alias("of"), F.col("class").alias("k")).alias("_key"), F.struct(*rest).alias("_cold")
+    )
+    both = joined.withColumn("_key", F.coalesce(key, spread)).join(later, "_key", "left")
+    told = F.coalesce("_hot", "_cold")
+    return both.select(*rows.columns, *(told[c].alias(c) for c in rest))
+
+
 def _grouped(numbered: DataFrame, k: int, percent: int) -> DataFrame:
     """:func:`near_duplicates` of documents (row, key, text)."""
     rows, labels = jaccard_links(numbered, k, percent)
-    named = rows.join(
-        labels.select(F.col("node").alias("class"), F.col("component").alias("_comp")), "class", "left"
-    ).withColumn("_label", F.coalesce("_comp", "class"))
-    named = materialize(named, "named")
-    least = named.where("_label is not null").groupBy("_label").agg(F.min("key").alias("_least"))
-    return named.join(least, "_label", "left").select(
+    # One row per class from here on: copies are counted before anything is joined.
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "row")
+    classes = rows.where("class is not null").groupBy("class").agg(
+        F.count("*").alias("copies"), F.min(order).alias("first")
+    )
+    classes = materialize(classes, "class-firsts")
+    linked = labels.select(F.col("node").alias("class"), F.col("component").alias("comp"))
+    linked = classes.join(linked, "class")
+    least = linked.groupBy("comp").agg(F.min("first").alias("least"))
+    known = linked.select("class", "comp").join(least, "comp").select("class", "least")
+    found = materialize(
+        classes.join(known, "class", "left").select("class", "copies", F.coalesce("least", "first").alias("least")),
+        "classes-found",
+    )
+    return _with_class(rows, found).select(
         "row", "key", F.col("n").alias("n_shingles"),
-        F.when(F.col("_label").isNull(), F.col("key")).otherwise(F.col("_least")).alias("component"),
-        F.coalesce(F.col("_label").cast("string"), F.concat(F.lit("row "), F.col("row"))).alias("group"),
+        F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("least.key")).alias("component"),
+        F.coalesce(F.col("least.row"), F.col("row")).alias("first"),
     )
 
 
@@ -530,10 +688,8 @@ def drop_near_duplicates(
         ),
         k, percent,
     )
-    first = F.min_by("row", F.struct(F.col("key").isNull(), "key", "row"))
-    ranked = found.join(found.groupBy("group").agg(first.alias("first")), "group")
     # The rows that go are few beside those that stay, so they are the side to be sent.
-    gone = materialize(ranked.where("row <> first").select("row"), "gone-rows")
+    gone = materialize(found.where("row <> first").select("row"), "gone-rows")
     return numbered.join(gone, "row", "left_anti").select("doc.*")
 
 

@@ -612,6 +612,29 @@ def test_near_duplicates_equal_brute_force(spark, tmp_path, k, percent, monkeypa
         assert all(r.n_shingles == len(sets[r.key]) for r in found)
 
 
+@pytest.mark.parametrize("cell,levels", [(512, 4), (40, 4), (40, 0), (70, 1)])
+def test_large_regions_are_joined_in_cells(spark, tmp_path, monkeypatch, cell, levels):
+    """Mosaics of common passages: hundreds of documents share every rare shingle."""
+    rng = random.Random(21)
+    passages = [prose(rng, 40) for _ in range(9)]
+    rows = [(i, " ".join(rng.sample(passages, 5))) for i in range(260)]
+    rows += [(1000 + i, prose(rng, rng.randint(30, 60)) + " " + passages[0]) for i in range(60)]
+    rows += [(2000 + i, rows[i][1] + " " + rng.choice(WORDS)) for i in range(30)] + [(3000, rows[5][1])] * 40
+    _, wanted = brute_near(rows, 5, 80)
+    docs = table(spark, tmp_path, rows, "doc_id long, text string")
+    monkeypatch.setattr(neardup, "PAIRS_LEFT", 10**9)
+    monkeypatch.setattr(neardup, "CELL", cell)
+    monkeypatch.setattr(neardup, "CELL_LEVELS", levels)
+    monkeypatch.setattr(neardup, "FEW", 6)
+    seen = []
+    exact = neardup._Join.exact
+    monkeypatch.setattr(neardup._Join, "exact", lambda self, near: seen.append(near.count()) or exact(self, near))
+    found = neardup.near_duplicates(docs).collect()
+    assert {r.key: r.component for r in found} == wanted and len(found) == len(rows)
+    # Two of three sets of a pair share passages; coordinates leave few to be measured.
+    assert sum(seen) < 0.1 * len(wanted) ** 2 / 2
+
+
 def test_near_duplicates_keep_one_of_each_group(spark, tmp_path):
     rows = odd_docs(random.Random(13))
     docs = table(spark, tmp_path, rows, DOCS)
