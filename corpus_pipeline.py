@@ -14,28 +14,49 @@ from delaylab.session import new_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language."""
-    return language.keep_identified(docs)
+    """Documents in a known language, judged with what the pages teach about languages and hosts.
+
+    Null, empty and very short texts are in no known language and go. Of equally likely languages
+    the first by name counts. Repeated rows are judged alike; no documents give none.
+    """
+    pages = spark.read.parquet(os.path.join(sf_dir, "pages.parquet"))
+    return language.keep_identified(docs, pages)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without multi-line passages that stand in an earlier one."""
+    """Documents without multi-line passages that stand in an earlier one.
+
+    Null and empty texts stay as they are. Of repeated rows and passages the first in the order
+    of the rows keeps them; a document that loses everything goes. No documents give none.
+    """
     return linededup.without_repeats(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    """One document of each group of near copies: five-word shingles, similarity 0.8.
+
+    The smallest number of a group stays, the first row of equal numbers; a null number is larger
+    than any other. Documents without words are copies of nothing and stay. No documents give none.
+    """
     return neardup.drop_near_duplicates(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that repeat no ten words of a benchmark item."""
+    """Documents that repeat no ten words of a benchmark item; shorter items drop nothing.
+
+    Null and empty texts repeat nothing and stay, repeated rows are judged alike, and no documents
+    give none.
+    """
     items = spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet"))
     return decontamination.drop_contaminated(docs, items)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' token ids in sequences of at most 2048."""
+    """Pieces of the documents' token ids, with the ids, in sequences of at most 2048.
+
+    A null text is packed as an empty one, by its end id alone. Every row is packed, repeated
+    ones too; no documents give no pieces.
+    """
     return packing.packed_documents(docs)
 
 
