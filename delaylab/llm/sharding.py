@@ -119,5 +119,24 @@ def op1_sharding(spark, sf_dir: str) -> DataFrame:
     )
 
 
+# The checksum is formed byte by byte with the usual table of 256 steps.
+_SQL = """
+WITH steps AS (
+  SELECT n, list_reduce([CAST(n AS BIGINT), 0, 1, 2, 3, 4, 5, 6, 7],
+    lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(n)),
+tbl AS (SELECT list(v ORDER BY n) AS t FROM steps),
+d AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+h AS (SELECT doc_id, octet_length(x) + 8 AS size,
+    list_transform(regexp_extract_all(hex(x), '..'), lambda p: CAST('0x' || p AS BIGINT)) AS b FROM d),
+e AS (SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(xor(4294967295, list_reduce(list_prepend(4294967295, b),
+    lambda a, v: xor(a >> 8, t[(xor(a, v) & 255) + 1]))) AS BIGINT) AS text_crc32 FROM h, tbl),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS before, sum(size) OVER () AS total FROM e),
+s AS (SELECT doc_id, size, text_crc32, greatest(0, least(23,
+    CAST(floor((CAST(2 * before + size AS DOUBLE) / (2.0 * total)) * 24) AS INT))) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
+FROM s
+"""
+
 QUERIES = {"op1_sharding": op1_sharding}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op1_sharding": _SQL}

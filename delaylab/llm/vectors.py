@@ -405,8 +405,8 @@ WITH RECURSIVE e AS (
 ok AS (
   SELECT vec_id, label, r, CAST(embedding AS DOUBLE[]) AS v FROM e
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (
   SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
   WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
