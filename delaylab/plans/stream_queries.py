@@ -194,11 +194,11 @@ def stream_response_join(spark, sf_dir):
         log.write.mode("append").parquet(f"{path}/responses")
 
     def asked(topic):
-        return topic.select(F.col("key").alias("UUID"), F.col("timestamp").alias("asked_at"))
+        return topic.select(topics.key_text().alias("UUID"), F.col("timestamp").alias("asked_at"))
 
     def replies(topic):
         return topic.select(
-            F.col("key").alias("uuid"), F.col("timestamp").alias("answered_at"), "offset",
+            topics.key_text().alias("uuid"), F.col("timestamp").alias("answered_at"), "offset",
             messages.parse_response(F.col("value"))["prediction"].cast("int").alias("prediction"),
         )
 

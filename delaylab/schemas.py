@@ -110,7 +110,7 @@ AIRLINES = T.StructType([
 
 #: A message log: the columns the Kafka source provides.
 TOPIC = T.StructType([
-    T.StructField("key", T.StringType()),
+    T.StructField("key", T.BinaryType()),
     T.StructField("value", T.BinaryType()),
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),

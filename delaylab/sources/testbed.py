@@ -132,7 +132,7 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a message log with four partitions."""
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("key"),
+        F.col("user_id").cast("string").cast("binary").alias("key"),
         F.col("props").cast("binary").alias("value"),
         F.lit("requests").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylab import schemas
@@ -18,7 +18,7 @@ def as_log(df: DataFrame, topic: str, moment: str = "Timestamp") -> DataFrame:
     log they need not be consecutive.
     """
     return df.select(
-        F.col("UUID").alias("key"),
+        F.col("UUID").cast("binary").alias("key"),
         F.col("message").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.pmod(F.hash("UUID"), F.lit(4)).alias("partition"),
@@ -54,6 +54,11 @@ def parse_once(log: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return single.drop("received_at", "offset")
 
 
+def key_text() -> Column:
+    """The key of a message as text."""
+    return F.col("key").cast("string")
+
+
 def addressed(df: DataFrame) -> DataFrame:
     """Rows with an identifier; only they can be stored by key or answered."""
     return df.where(F.col("UUID").isNotNull())
