@@ -11,9 +11,11 @@ whose hash repeats send their bytes, to be grouped by hash and bytes with a part
 a passage that a third of all rows share is combined before it travels.
 
 Chunks at the ends of a passage hold neighbouring lines too and do not repeat, and a short passage
-may hold no whole chunk. So windows of two lines, blank lines between them included, are compared
-in the same way afterwards, over chunk boundaries as well. Windows inside a chunk that is taken out
-are left aside: they stand in the chunk's first occurrence too.
+may hold no whole chunk. So the finest chunks are compared in the same way afterwards: windows of two
+lines, blank lines between them included, over the boundaries of the others as well, and single lines
+that are passages by their number of words. What lies inside a chunk that is taken out is left aside:
+it stands in the chunk's first occurrence too. The finest chunks alone would find the same places; the
+others keep long passages, and those that a large part of the rows share, from travelling line by line.
 """
 
 from __future__ import annotations
@@ -25,8 +27,11 @@ from delaylab.llm.scratch import stored as materialize
 
 #: Lines from which a repeated passage is removed.
 LEAST_LINES = 2
+#: Words from which a single line is a passage.
+LONG_LINE = 50
 #: A character that is no white space.
 VISIBLE = r"[^\x20\x09-\x0D]"
+WORD = VISIBLE + "+"
 #: Slots of the broadcast filter that keeps most chunks that do not repeat from travelling. It has
 #: at most so many rows (16 bytes each), however many hashes repeat; when they fill it, more
 #: chunks travel, with the same result.
@@ -121,10 +126,11 @@ def repeated_chunks(stored: DataFrame, least_lines: int = LEAST_LINES) -> DataFr
     )
 
 
-def _windows(stored: DataFrame, least_lines: int) -> DataFrame:
+def _windows(stored: DataFrame, least_lines: int, long_line: int) -> DataFrame:
     """(row, start, upto, at, text, hash) of every ``least_lines`` visible lines that follow each other.
 
     The text holds the blank lines between them. ``at`` is the chunk that holds all of them, if any.
+    A line of ``long_line`` words or more is a window by itself, too.
     """
     lined = stored.where("chunks is not null").select(
         "row",
@@ -144,17 +150,30 @@ def _windows(stored: DataFrame, least_lines: int) -> DataFrame:
             F.array_join(F.slice("lines", start + 1, upto - start + 1), "\n").alias("text"),
         )
 
-    each = seen.select("row", F.explode(F.transform("seen", window)).alias("window"))
+    def is_long(i: Column) -> Column:
+        line = F.get("lines", i)
+        # Words are counted only where there is room for so many.
+        return (F.length(line) >= 2 * long_line - 1) & (F.regexp_count(line, F.lit(WORD)) >= long_line)
+
+    def alone(i: Column) -> Column:
+        return F.struct(
+            i.alias("start"), i.alias("upto"), F.get("of", i).alias("at"), F.get("lines", i).alias("text")
+        )
+
+    both = F.concat(F.transform("seen", window), F.transform(F.filter("seen", is_long), alone))
+    each = seen.select("row", F.explode(both).alias("window"))
     return each.select("row", "window.*").where("upto is not null").withColumn("hash", F.xxhash64("text"))
 
 
-def repeated_windows(stored: DataFrame, removed: DataFrame, least_lines: int = LEAST_LINES) -> DataFrame:
-    """(row, start, upto): windows of ``least_lines`` visible lines that stand in an earlier place.
+def repeated_windows(
+    stored: DataFrame, removed: DataFrame, least_lines: int = LEAST_LINES, long_line: int = LONG_LINE
+) -> DataFrame:
+    """(row, start, upto): windows (see :func:`_windows`) that stand in an earlier place.
 
     ``removed`` are the chunks taken out (row, at). An earlier place that shares a line with the
     window, in a run of equal lines, does not count.
     """
-    each = _windows(stored, least_lines)
+    each = _windows(stored, least_lines, long_line)
     inside = removed.select("row", "at")
     often = materialize(
         each.select("row", "at", "hash").join(inside, ["row", "at"], "left_anti")
@@ -174,13 +193,15 @@ def repeated_windows(stored: DataFrame, removed: DataFrame, least_lines: int = L
     return candidates.join(firsts, ["hash", "text"]).where(apart).select("row", "start", "upto")
 
 
-def without_repeats(docs: DataFrame, text: str = "text", least_lines: int = LEAST_LINES) -> DataFrame:
-    """The documents, without multi-line passages that stand in an earlier place.
+def without_repeats(
+    docs: DataFrame, text: str = "text", least_lines: int = LEAST_LINES, long_line: int = LONG_LINE
+) -> DataFrame:
+    """The documents, without passages that stand in an earlier place.
 
     Columns and their order are those of ``docs``. A passage is ``least_lines`` visible lines or
-    more that follow each other, or a content-defined chunk of so many lines; its first place in
-    the order of the rows of ``docs`` keeps it, every other place loses it, within a document as
-    well. A line stays at its first place of all; a passage whose first place overlaps an earlier
+    more that follow each other, a content-defined chunk of so many lines, or a line of
+    ``long_line`` words; its first place in the order of the rows of ``docs`` keeps it, every other place loses it, within a document as
+    well. Shorter single lines stay wherever they stand. A line stays at its first place of all; a passage whose first place overlaps an earlier
     passage is kept in parts. Documents that lose all their text are dropped; documents that had
     none (null or empty) stay as they are. Of repeated rows the first stays. An empty table gives
     an empty one; columns of any name may be present.
@@ -188,7 +209,7 @@ def without_repeats(docs: DataFrame, text: str = "text", least_lines: int = LEAS
     stored = materialize(chunked(docs, text), "chunks")
     removed = materialize(repeated_chunks(stored, least_lines), "removed-chunks")
     gone = removed.select("row", "start", "upto").unionByName(
-        repeated_windows(stored, removed, least_lines)
+        repeated_windows(stored, removed, least_lines, long_line)
     )
     lost = gone.groupBy("row").agg(F.collect_list(F.struct("start", "upto")).alias("lost"))
     joined = stored.join(lost, "row", "left").select(

@@ -393,6 +393,9 @@ def brute_passages(texts):
             place = first.setdefault(tuple(lines[start : upto + 1]), (row, upto))
             if place < (row, start):
                 lost |= set(range(start, upto + 1))
+        for i in seen:
+            if len(visible(lines[i])) >= 50 and first.setdefault(lines[i], (row, i)) != (row, i):
+                lost.add(i)
         left.append("\n".join(x for i, x in enumerate(lines) if i not in lost))
     return left
 
@@ -410,6 +413,9 @@ def test_line_dedup_finds_short_passages_inside_texts(spark, tmp_path):
     texts += [f"{line()}\n\n{single}\n\n{line()}" for _ in range(3)]
     texts += [f"{line()}\ngap one\n\ngap two\n{line()}" for _ in range(2)]
     texts += ["\n".join([line(), *["same same"] * n, line()]) for n in (3, 4, 5)]
+    # Single lines are passages from fifty words on.
+    long, almost = (" ".join(rng.choice(WORDS) for _ in range(n)) for n in (50, 49))
+    texts += [f"{line()}\n{long}\n{line()}\n{almost}\n\n{line()}" for _ in range(3)]
     path = str(tmp_path / "texts")
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(path)
     docs = spark.read.parquet(path)
@@ -417,6 +423,7 @@ def test_line_dedup_finds_short_passages_inside_texts(spark, tmp_path):
     assert [found[i] for i in range(len(texts))] == brute_passages(texts)
     lines = Counter(x for t in found.values() for x in t.split("\n"))
     assert all(lines[x] == 1 for passage in passages for x in passage) and lines[single] == 3
+    assert lines[long] == 1 and lines[almost] == 3
 
 
 # Quality
