@@ -345,11 +345,10 @@ def keep_identified(docs: DataFrame, pages: DataFrame | None = None) -> DataFram
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:
-    """Language of all documents and pages, each learned from both."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Language of all documents, with what documents and pages teach."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    found = identify_corpus(corpus_rows(docs, pages))
-    return found.select("doc.doc_id", "doc.page_id", "language", "confidence", "kept")
+    return identify_documents(docs, pages).select("doc.doc_id", "language", "confidence", "kept")
 
 
 QUERIES = {"op3_language_id": op3_language_id}
