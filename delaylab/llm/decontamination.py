@@ -317,7 +317,7 @@ def hit_words(spans) -> F.Column:
 
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, text: str = "text", width: int = 10,
-    least_words: int | None = None, **options
+    least_words: int | None = None, item_text: str = "text", **options
 ) -> DataFrame:
     """The documents without a word inside an occurring window; their columns are unchanged.
 
@@ -328,7 +328,11 @@ def drop_contaminated(
     """
     rows = docs.select(F.struct("*").alias("doc"), F.col(f"`{text}`").alias("text"))
     least = width if least_words is None else least_words
-    found = find_overlaps(rows, items, text="text", width=width, least_words=least, **options)
+    # Which items a window comes from does not matter here, so none are gathered.
+    texts = items.select(F.lit("").alias("item"), F.col(f"`{item_text}`").alias("text")).distinct()
+    found = find_overlaps(
+        rows, texts, item="item", text="text", width=width, least_words=least, **options
+    )
     return found.where(F.size("hit_spans") == 0).select("doc.*")
 
 
