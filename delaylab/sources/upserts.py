@@ -22,8 +22,9 @@ from delaylab.operators.hotkeys import latest_per_key
 RUN, BATCH, BUCKET = "run", "batch", "bucket"
 #: The run of what no query wrote. It sorts before the runs of queries, which begin with a time.
 NO_RUN = "0"
-#: Folders by key hash. Fixed for the life of a table.
-BUCKETS = 64
+#: Folders by key hash. Fixed for the life of a table. A batch writes a file or more to each that
+#: it has keys of; a lookup reads one.
+BUCKETS = 16
 #: A compacted table begins with this batch, older than any other.
 _BASE = -1
 #: What orders the versions of a response before run and batch do.
