@@ -32,10 +32,10 @@ LONG_LINE = 50
 #: A character that is no white space.
 VISIBLE = r"[^\x20\x09-\x0D]"
 WORD = VISIBLE + "+"
-#: Slots of the broadcast filter that keeps most chunks that do not repeat from travelling. It has
-#: at most so many rows (16 bytes each), however many hashes repeat; when they fill it, more
-#: chunks travel, with the same result.
-SLOTS = 1 << 22
+#: Slots of the broadcast filter that keeps most chunks that do not repeat from travelling. They
+#: are the bits of at most a 64th as many rows (16 bytes each), however many hashes repeat; when they
+#: fill it, more chunks travel, with the same result.
+SLOTS = 1 << 26
 
 
 def _minima(rolling: Column, n: Column) -> Column:
@@ -92,10 +92,16 @@ def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _in_slots(each: DataFrame, often: DataFrame) -> DataFrame:
-    """Rows of ``each`` whose hash may be in ``often``; most others do not travel."""
-    slot = F.pmod("hash", F.lit(SLOTS)).alias("slot")
-    slots = often.select(slot).distinct()
-    return each.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+    """Rows of ``each`` whose hash may be in ``often``; most others do not travel.
+
+    A semi join, as the optimizer would move those that follow below any other.
+    """
+    word = F.expr(f"pmod(hash, {SLOTS}L) div 64")
+    bits = often.groupBy(word.alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(pmod(hash, 64L) as int))")).alias("_bits")
+    )
+    is_set = F.expr("shiftrightunsigned(_bits, cast(pmod(hash, 64L) as int)) % 2 <> 0")
+    return each.join(F.broadcast(bits), (word == F.col("_word")) & is_set, "left_semi")
 
 
 def repeated_chunks(stored: DataFrame, least_lines: int = LEAST_LINES) -> DataFrame:
