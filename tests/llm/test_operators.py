@@ -426,6 +426,24 @@ def test_line_dedup_finds_short_passages_inside_texts(spark, tmp_path):
     assert lines[long] == 1 and lines[almost] == 3
 
 
+def test_the_filter_of_repeated_chunks_works_before_rows_travel(spark, tmp_path):
+    rng = random.Random(5)
+    hashes = {rng.randint(-(1 << 63), (1 << 63) - 1) for _ in range(3000)}
+    hashes |= {0, -1, 63, 64, -(1 << 63), (1 << 63) - 1}
+    each = table(spark, tmp_path, [(h, "t") for h in hashes], "hash long, text string")
+    often = each.where("hash % 7 = 0").select("hash")
+    candidates = lambda: linededup._in_slots(each, often).join(often, "hash", "left_semi")
+    assert {r["hash"] for r in candidates().collect()} == {r["hash"] for r in often.collect()}
+    assert linededup._in_slots(each, often).count() < 0.3 * len(hashes)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = candidates()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.index("SortMergeJoin") < text.index("Exchange") < text.index("BroadcastHashJoin [(pmod(hash")
+
+
 # Quality
 
 def brute_statistics(text):
