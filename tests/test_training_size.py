@@ -38,3 +38,23 @@ def test_a_fit_reads_rows_that_are_dealt_once(spark, flights, monkeypatch):
 def test_indexes_stay_categories(flights):
     forest = learning.train(flights, ForestSettings(trees=8, depth=4), partitions=2).stages[-1]
     assert " in {" in forest.toDebugString
+
+
+def test_hashed_categories_give_a_forest_few_inputs(spark, flights, tmp_path):
+    model = learning.train(flights, SMALL, {"Route": "hashed", "Dest": "hashed"}, partitions=2)
+    plain = len(learning.NUMERIC) + 2
+    assert model.stages[-1].numFeatures == plain + 4
+    learning.save_model(model, str(tmp_path / "model"))
+    again = learning.score(flights, learning.load_model(str(tmp_path / "model")))
+    assert set(again.columns) == {*flights.columns, "Route", "Prediction"}
+    assert again.where("Prediction IS NULL").isEmpty()
+
+
+def test_hashed_routes_tell_delays_apart(spark):
+    """The delay follows from the route alone, and no other input says anything."""
+    rows = materialize(spark.sql("""SELECT CAST(id % 4 * 25 - 40 AS DOUBLE) AS ArrDelay,
+        0D AS DepDelay, 1D AS Distance, 1 AS DayOfMonth, 1 AS DayOfWeek, 1 AS DayOfYear,
+        'C' AS Carrier, concat('A', id % 40) AS Origin, 'B' AS Dest FROM range(4000)"""), "routes")
+    hashed = dict.fromkeys(("Route", "Origin"), "hashed")
+    model = learning.train(rows, ForestSettings(trees=5, depth=5), hashed, partitions=2)
+    assert learning.evaluate_in_sample(rows, model) > 0.9
