@@ -9,15 +9,19 @@ the folder the numbers' minima and maxima leave few row groups to read.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylab.operators import hotkeys
+from delaylab.session import materialize
 
 #: Rows of a block.
 BLOCK_ROWS = 1_000_000
+#: Blocks of a listing at most; each is a folder that every reader has to list.
+BLOCKS = 256
 
 
 def _order(df: DataFrame, names: list[str]) -> list[Column]:
@@ -29,13 +33,16 @@ def _order(df: DataFrame, names: list[str]) -> list[Column]:
 def store_listing(df: DataFrame, names: list[str], path: str, block_rows: int = BLOCK_ROWS) -> None:
     """Store ``df`` in the order of ``names`` as a listing below ``path``, replacing the one there.
 
-    Adds ``rank``, the place from 1. ``rank`` and ``block`` are names of the listing's own.
+    Adds ``rank``, the place from 1. ``rank`` and ``block`` are names of the listing's own. A long
+    listing has a multiple of ``block_rows`` in each block, so that there are ``BLOCKS`` at most.
     """
     spark = df.sparkSession
-    ranked = hotkeys.number_rows(df, [], _order(df, names))
+    source = materialize(df, "unlisted")
+    block_rows *= max(1, ceil(source.count() / (block_rows * BLOCKS)))
+    ranked = hotkeys.number_rows(source, [], _order(df, names), stored=True)
     block = F.floor((F.col("rank") - 1) / block_rows)
     (
-        ranked.withColumn("block", block).sortWithinPartitions("block", "rank")
+        ranked.withColumn("block", block).hint("rebalance", "block").sortWithinPartitions("block", "rank")
         .write.mode("overwrite").partitionBy("block").parquet(f"{path}/rows")
     )
     schema = T.StructType([*ranked.schema.fields, T.StructField("block", T.LongType())])

@@ -155,3 +155,23 @@ def test_single_listing_has_its_count(flights):
     assert listed and {r["flight_count"] for r in listed} == {len(listed)}
     times = [(r["DepTime"], r["ArrTime"]) for r in listed]
     assert times == sorted(times)
+
+
+def test_many_rows_are_sorted_in_more_ranges(spark, monkeypatch):
+    """A task sorts some GROUP_ROWS rows, whatever number of partitions the session has."""
+    sorted_tables = []
+
+    def watched(df, label):
+        stored = materialize(df, label)
+        if label == "sorted":
+            sorted_tables.append(stored)
+        return stored
+
+    monkeypatch.setattr(hotkeys, "GROUP_ROWS", 50)
+    monkeypatch.setattr(hotkeys, "materialize", watched)
+    rows = materialize(spark.range(2000).select((F.col("id") * 37 % 500).alias("k")), "many")
+    ranked = hotkeys.number_rows(rows, [], [F.col("k")], stored=True).orderBy("rank").collect()
+    assert [r["k"] for r in ranked] == sorted(k for k in range(500) for _ in range(4))
+    assert [r["rank"] for r in ranked] == [*range(1, 2001)]
+    parts = sorted_tables[0].groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert parts <= 100

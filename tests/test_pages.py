@@ -52,3 +52,14 @@ def test_an_empty_listing(spark):
     assert pages.total(spark, path) == 0 and pages.rank_of(spark, path, ["a"], {"a": 1}) == 0
     with pytest.raises(LookupError):
         pages.read_page(spark, path, 0, 5)
+
+
+def test_a_long_listing_has_few_blocks(spark, monkeypatch):
+    path = new_dir(spark, "listing")
+    monkeypatch.setattr(pages, "BLOCKS", 8)
+    pages.store_listing(spark.range(2000).toDF("id"), ["id"], path, block_rows=10)
+    index = pages.read_index(spark, path).orderBy("block").collect()
+    assert [r["rows"] for r in index] == [250] * 8 and {r["block_rows"] for r in index} == {250}
+    page = pages.read_page(spark, path, 495, 10).orderBy("rank").collect()
+    assert [r["id"] for r in page] == [*range(495, 505)] and {r["total"] for r in page} == {2000}
+    assert pages.rank_of(spark, path, ["id"], {"id": 1234}) == 1234
