@@ -122,18 +122,22 @@ def write_keys(keys: DataFrame, path: str, batch_id: int, key: str, run: str = N
     _write(keys.select(key), batch_folder(path, batch_id, run), key)
 
 
-def unseen(rows: DataFrame, path: str, batch_id: int, key: str, run: str = NO_RUN) -> DataFrame:
+def unseen(
+    rows: DataFrame, path: str, batch_id: int, key: str, run: str = NO_RUN, of: DataFrame | None = None
+) -> DataFrame:
     """Rows whose key no other batch has remembered below ``path``, whenever that was.
 
     Only the folders of the hashes that ``rows`` has are read. What this batch itself remembered
-    before it was replayed does not count. ``rows`` should hold each key once.
+    before it was replayed does not count. ``rows`` should hold each key once. The hashes are taken
+    from ``of``, a table with the same keys that is cheaper to read, if there is one.
     """
     spark = rows.sparkSession
-    marked = rows.withColumn(BUCKET, bucket_of(F.col(key)))
-    touched = [r[0] for r in marked.select(BUCKET).distinct().collect()]  # at most BUCKETS numbers
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return rows
+    marked = rows.withColumn(BUCKET, bucket_of(F.col(key)))
+    hashes = (rows if of is None else of).select(bucket_of(F.col(key)).alias(BUCKET)).distinct()
+    touched = [r[0] for r in hashes.collect()]  # at most BUCKETS numbers
     schema = StructType([StructField(key, rows.schema[key].dataType)])
     known = versions(spark, path, schema).where(
         F.col(BUCKET).isin(touched) & ~((F.col(RUN) == run) & (F.col(BATCH) >= batch_id))

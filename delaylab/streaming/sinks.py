@@ -139,8 +139,9 @@ def first_seen(path: str, key: str = "UUID") -> Prepare:
 
     def prepare(batch: DataFrame, batch_id: int, run: str) -> DataFrame:
         rest = [c for c in batch.columns if c != key]
-        single = first_per_key(batch.where(F.col(key).isNotNull()), [key], rest)
-        return upserts.unseen(single, path, batch_id, key, run)
+        named = batch.where(F.col(key).isNotNull())
+        single = first_per_key(named, [key], rest)
+        return upserts.unseen(single, path, batch_id, key, run, of=named)
 
     return prepare
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from delaylab import schemas
 from delaylab.session import new_dir
 from delaylab.sources import upserts, versions
+from delaylab.streaming import sinks
 from tests.test_plans import plan
 
 
@@ -82,6 +83,26 @@ def test_keys_are_remembered_and_replays_are_not(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ = \d+", text)
 
 
+def test_copies_are_dropped_once(spark, monkeypatch):
+    """The hashes of a batch are read from it as it came; copies are sorted out only for the rows."""
+    path = new_dir(spark, "seen")
+    batch = spark.createDataFrame([(f"k{i % 40}", i) for i in range(80)] + [(None, 0)], "UUID string, n int")
+    collected = []
+    collect = type(batch).collect
+
+    def watched(self):
+        collected.append(plan(self))
+        return collect(self)
+
+    monkeypatch.setattr(type(batch), "collect", watched)
+    first = sinks.first_seen(path)(batch, 0, "r")
+    assert not collected  # nothing has been seen yet
+    sinks.remembered(path)(first.where("n < 20"), 0, "r")
+    again = sinks.first_seen(path)(batch, 1, "r")
+    assert len(collected) == 1 and "Window" not in collected[0]
+    assert sorted(r["n"] for r in again.collect()) == [*range(20, 40)]
+
+
 def test_versions_are_replaced_under_readers(spark):
     path = new_dir(spark, "versions")
     with pytest.raises(FileNotFoundError):
