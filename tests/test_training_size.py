@@ -2,6 +2,8 @@
 
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
 
 from delaylab.operators import learning
 from delaylab.operators.learning import ForestSettings
@@ -35,6 +37,20 @@ def test_a_fit_reads_rows_that_are_dealt_once(spark, flights, monkeypatch):
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
+def test_the_regressor_hashes_its_texts_once(spark, flights, monkeypatch):
+    given = []
+    fit = LinearRegression.fit
+
+    def watched(self, rows):
+        given.append((rows.storageLevel.useMemory, rows.storageLevel.useDisk))
+        return fit(self, rows)
+
+    monkeypatch.setattr(LinearRegression, "fit", watched)
+    learning.train_regressor(flights.withColumn("FlightNum", F.lit("7")))
+    assert given == [(True, True)]
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+
+
 def test_indexes_stay_categories(flights):
     forest = learning.train(flights, ForestSettings(trees=8, depth=4), partitions=2).stages[-1]
     assert " in {" in forest.toDebugString
