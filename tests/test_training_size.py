@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -37,6 +38,51 @@ def test_a_fit_reads_rows_that_are_dealt_once(spark, flights, monkeypatch):
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
+def _given_to_the_fit(flights, monkeypatch, encoding=None):
+    """Partitions of vectors as lists and labels, as the forest gets them, and the schema."""
+    given = []
+    fit = RandomForestClassifier.fit
+
+    def watched(self, rows):
+        listed = rows.select(vector_to_array(learning.VECTOR), learning.LABEL)
+        given.extend([listed.rdd.map(tuple).glom().collect(), rows.schema])
+        return fit(self, rows)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", watched)
+    model = learning.train(flights, SMALL, encoding, partitions=2)
+    return model, *given
+
+
+def test_rows_of_a_route_lie_together_in_a_fit(flights, monkeypatch):
+    model, parts, _ = _given_to_the_fit(flights, monkeypatch)
+    route = len(learning.NUMERIC) + learning.CATEGORIES.index("Route")
+    assert len(parts) == 2 and sum(map(len, parts)) == flights.count()
+    assert len({row[0][route] for row in parts[0]}) > 5
+    for part in parts:
+        places = [row[0][route] for row in part]
+        assert places == sorted(places)
+    again = learning.train(flights.orderBy("ArrDelay", "DepDelay"), SMALL, partitions=2)
+    trees = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in (model, again)]
+    assert trees[0] == trees[1]
+
+
+@pytest.mark.parametrize("encoding", [None, {"Route": "hashed"}, dict.fromkeys(learning.CATEGORIES, "hashed")])
+def test_a_fit_gets_what_the_assembler_makes(flights, monkeypatch, encoding):
+    model, parts, schema = _given_to_the_fit(flights, monkeypatch, encoding)
+    labelled = learning.bucketize_delay(learning.derive_route(flights))
+    for stage in model.stages[:-1]:
+        labelled = stage.transform(labelled)
+    made = labelled.select(vector_to_array(learning.VECTOR), learning.LABEL)
+    assert sorted(sum(parts, [])) == sorted(map(tuple, made.collect()))
+    assert schema[learning.VECTOR].metadata == labelled.schema[learning.VECTOR].metadata
+
+
+def test_a_fit_refuses_a_null_number(flights):
+    rows = materialize(flights.withColumn("Distance", F.nullif("Distance", F.lit(800.0))), "null-distance")
+    with pytest.raises(Exception, match="NaN"):
+        learning.train(rows, SMALL, partitions=2)
+
+
 def test_the_regressor_hashes_its_texts_once(spark, flights, monkeypatch):
     given = []
     fit = LinearRegression.fit
