@@ -28,9 +28,14 @@ def as_log(df: DataFrame, topic: str, moment: str = "Timestamp") -> DataFrame:
 
 
 def request_log(requests: DataFrame) -> DataFrame:
-    """Enriched requests as messages of the request topic."""
+    """Enriched requests as messages of the request topic.
+
+    Rows are first dealt evenly over the cores. A scan has no more tasks with rows than its file has
+    row groups, and the files of the topic hand that down to whoever reads and scores the messages.
+    """
+    spread = requests.hint("rebalance")
     return as_log(
-        requests.withColumn("message", messages.request_message()), schemas.REQUEST_TOPIC
+        spread.withColumn("message", messages.request_message()), schemas.REQUEST_TOPIC
     )
 
 

@@ -31,6 +31,19 @@ def stream(spark, path):
     return topics.parse_requests(readers.stream_topic(spark, path))
 
 
+def test_a_topic_has_rows_in_many_files_when_its_requests_come_from_one_task(spark):
+    path = new_dir(spark, "t")
+    one_task = spark.range(0, 60_000, 1, 1).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("UUID"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.REQUEST.fields if f.name != "UUID"],
+    )
+    publish(one_task, f"{path}/topic")
+    log = spark.read.parquet(f"{path}/topic")
+    files = [r["n"] for r in log.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(files) > 1 and max(files) < 2 * min(files)
+    assert sum(files) == log.select("offset").distinct().count() == log.select("key").distinct().count() == 60_000
+
+
 def test_stream_and_batch_predict_the_same(spark, requests, model):
     path = new_dir(spark, "t")
     publish(requests, f"{path}/topic")
