@@ -139,8 +139,8 @@ _SINK_SQL = " UNION ALL ".join(
 def stream_fanout(spark, sf_dir):
     """Two queries with checkpoints of their own share the sinks; the table is compacted after them."""
     path = new_dir(spark, "fanout")
-    requests = prepared_requests(spark, sf_dir)
     model = scorer(spark, sf_dir)
+    requests = prepared_requests(spark, sf_dir)
     targets = _fan_out_targets(path) | {"table": sinks.response_table(f"{path}/versions")}
     for part in range(2):
         mine = requests.where(F.pmod(F.xxhash64("UUID"), F.lit(2)) == part)
@@ -285,7 +285,7 @@ def job_stream_score(spark, sf_dir):
     replaced, without restarting the query, and the whole topic comes once more: what had not
     been seen is scored with the new distances.
     """
-    path = new_dir(spark, "job-stream")
+    path, model = new_dir(spark, "job-stream"), model_path(spark, sf_dir)
     bare = features.with_date_parts(testbed.requests(spark, sf_dir)).withColumn(
         "Distance", F.lit(None).cast("double")
     )
@@ -296,7 +296,7 @@ def job_stream_score(spark, sf_dir):
     for _ in range(2):
         topics.request_log(bare.where(half)).write.mode("append").parquet(f"{path}/topic")
     running = jobs.stream_score(
-        readers.stream_topic(spark, f"{path}/topic"), model_path(spark, sf_dir),
+        readers.stream_topic(spark, f"{path}/topic"), model,
         f"{path}/distances", _fan_out_targets(path), f"{path}/checkpoint", every="0 seconds",
         seen_path=f"{path}/seen",
     )

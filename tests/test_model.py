@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from delaylab.operators import aggregates, features, learning
 from delaylab.operators.learning import ForestSettings
-from delaylab.plans import jobs, registry
+from delaylab.plans import jobs, model_queries, registry
 from delaylab.session import new_dir
 
 SMALL = ForestSettings(trees=3, depth=3)
@@ -126,3 +126,26 @@ def test_samples(spark, table, model):
     assert first.count() == features.sample_by_key(table.repartition(3), ["FlightNum"], 10).count()
     times = [r["CRSDepTime"] for r in learning.preview(table, 10).collect()]
     assert len(times) == 6 and times == sorted(times)
+
+
+def test_incomplete_rows_are_those_that_training_drops(spark):
+    rows = spark.createDataFrame(
+        [(1, 1.0, 2.0), (2, None, 2.0), (3, 1.0, None), (4, None, None), (5, float("nan"), 0.0), (5, None, 1.0)],
+        "id int, ArrDelay double, DepDelay double",
+    )
+    kept, dropped = features.filter_complete(rows), features.filter_incomplete(rows)
+    assert [r["id"] for r in kept.collect()] == [1, 5]
+    assert [r["id"] for r in dropped.collect()] == [2, 3, 4, 5]
+
+
+def test_a_day_is_set_against_a_batch_of_its_own_requests(spark, sf_dir, monkeypatch):
+    asked, score = [], learning.score
+
+    def watched(requests, model):
+        asked.append(requests.count())
+        return score(requests, model)
+
+    monkeypatch.setattr(learning, "score", watched)
+    results = model_queries.job_daily_score(spark, sf_dir)
+    assert asked == [results.count()] * 3 and asked[0] > 0
+    assert results.where("NOT as_in_batch").isEmpty()

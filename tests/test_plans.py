@@ -71,6 +71,19 @@ def test_distance_join_is_broadcast_by_size_only(spark, sf_dir):
     assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
+def test_distances_join_only_flights_the_feature_table_leaves_out(spark, sf_dir):
+    registry.features_path(spark, sf_dir)
+    whole = testbed.flights(spark, sf_dir, "Origin", "Dest", "Distance")
+    mine = registry.routed_flights(spark, sf_dir)
+    assert "Union" in plan(mine) and "Union" not in plan(whole)
+    # The rest is picked by the part's key from the line items, before any join.
+    assert "l_partkey" in plan(mine) and "l_partkey" not in plan(whole)
+    scans = [line for line in plan(mine).splitlines() if "FileScan" in line and "l_partkey" in line]
+    assert len(scans) == 1 and "DataFilters" in scans[0] and "% 50" in scans[0]
+    same = [sorted(aggregates.origin_dest_distances(df).collect()) for df in (mine, whole)]
+    assert same[0] == same[1]
+
+
 def test_pages_are_top_k(flights):
     text = plan(serving.search_flights(flights, {"Carrier": "AA"}, start=15))
     assert "TakeOrderedAndProject(limit=30, offset=15" in text
