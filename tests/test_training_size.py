@@ -97,6 +97,55 @@ def test_the_regressor_hashes_its_texts_once(spark, flights, monkeypatch):
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
+@pytest.fixture(scope="module")
+def keyed(spark, flights):
+    """Flights with their keys, nulls among them, and every row twice."""
+    rows = flights.select(
+        "*", F.expr("date_add(DATE'2024-01-01', CAST(DayOfYear AS INT))").alias("FlightDate"),
+        F.nullif(F.expr("CAST(DepDelay AS STRING)"), F.lit("0.0")).alias("FlightNum"),
+        F.expr("TIMESTAMP_NTZ'2024-01-01 05:00:00' + make_interval(0, 0, 0, DayOfMonth)").alias("CRSDepTime"),
+    )
+    return materialize(rows.union(rows), "keyed-flights")
+
+
+def _listed(df, *columns):
+    return sorted(map(repr, df.select(*(columns or df.columns)).collect()))
+
+
+@pytest.mark.parametrize("percent", [0, 20, 100])
+def test_a_stored_split_is_the_split(keyed, percent):
+    seen, unseen = learning.store_split(keyed, percent)
+    plain_seen, plain_unseen = learning.split_by_hash(keyed, percent)
+    assert unseen.columns == keyed.columns and _listed(unseen) == _listed(plain_unseen)
+    assert _listed(seen, *learning.FIT_INPUTS) == _listed(plain_seen, *learning.FIT_INPUTS)
+    rest = [c for c in keyed.columns if c not in learning.FIT_INPUTS]
+    told = plain_seen.select(*learning.FIT_INPUTS, *rest).distinct().count()
+    assert seen.distinct().count() == told
+    assert bool(seen.count()) == (percent < 100) and bool(unseen.count()) == (percent > 0)
+
+
+def test_a_holdout_tells_rows_apart_once(keyed, monkeypatch):
+    given, plan = [], lambda df: df._jdf.queryExecution().executedPlan().toString()
+    train, score = learning.train, learning.score
+
+    def trained(rows, *args, **kwargs):
+        given.extend([plan(rows), kwargs["partitions"]])
+        return train(rows, *args, **kwargs)
+
+    def scored(rows, model):
+        given.append(plan(rows))
+        return score(rows, model)
+
+    monkeypatch.setattr(learning, "train", trained)
+    monkeypatch.setattr(learning, "score", scored)
+    outside = learning.score_holdout(keyed, SMALL)
+    assert [p for p in given if "md5" in str(p)] == []
+    assert given[1] == learning.default_partitions(keyed)
+    assert {*keyed.columns, "Route", learning.LABEL, learning.PREDICTION} == set(outside.columns)
+    held = learning.bucketize_delay(learning.split_by_hash(keyed)[1])
+    assert outside.count() == held.count() > 0
+
+
 def test_indexes_stay_categories(flights):
     forest = learning.train(flights, ForestSettings(trees=8, depth=4), partitions=2).stages[-1]
     assert " in {" in forest.toDebugString
